@@ -15,14 +15,13 @@ pass through; output columns that clash get a numbered name. An empty table give
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import cut, fresh
 
-_SPACE = " \t\n\x0b\f\r"
-_SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Rule -> (measure, good at most, junk from); between the two it abstains. Per word, per character of words or per line.
@@ -42,40 +41,51 @@ RULE_NAMES = tuple(RULES)
 KEEP_FROM = 0.5
 
 
-def _without(text: Column, chars: str) -> Column:
-    """Number of code points of ``text`` that are in ``chars``."""
-    return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
+def _count(text: Column, pattern: str) -> Column:
+    """Number of code points of ``text`` in matches of ``pattern``."""
+    return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once; a column used inside a lambda would be put in place of each use."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _repeat_words(w: Column) -> Column:
+    """Words of ``w`` in three-word windows found twice or more. Texts without such a window need no sorting."""
+
+    def covered(hashes: Column) -> Column:
+        rows = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        again = _let(rows, lambda s: F.transform(F.filter(s, lambda x, k: (x["h"] == F.get(s, k - 1)["h"]) | (x["h"] == F.get(s, k + 1)["h"])), lambda x: x["i"]))
+        # each window in ascending order covers what reaches beyond the one before
+        steps = _let(F.sort_array(again), lambda a: F.transform(a, lambda i, k: F.when(k == 0, F.lit(3)).otherwise(F.least(F.lit(3), i - F.get(a, k - 1)))))
+        return F.aggregate(steps, F.lit(0), lambda acc, x: acc + x)
+
+    hashes = F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+    return _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
 
 
 def _measures(df: DataFrame, text_col: str) -> DataFrame:
     """``df`` with the counts and the rules' further measures in one struct column ``_m``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    df = df.withColumn("_text", text).withColumn("_words", words).withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
-    w = F.col("_words")
-    # windows of three words, by hash; those with an equal neighbour after sorting are found twice or more
-    hashes = F.transform(w, lambda x, i: F.when(i + 2 < F.size(w), F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))))
-    df = df.withColumn("_sorted", F.array_sort(F.filter(hashes, lambda x: x.isNotNull())))
-    s = F.col("_sorted")
-    again = F.filter(s, lambda x, k: (x["h"] == F.get(s, k - 1)["h"]) | (x["h"] == F.get(s, k + 1)["h"]))
-    df = df.withColumn("_again", F.array_sort(F.transform(again, lambda x: x["i"])))
-    a = F.col("_again")
-    # each window in ascending order covers what reaches beyond the one before
-    covered = F.aggregate(F.transform(a, lambda i, k: F.when(k == 0, F.lit(3)).otherwise(F.least(F.lit(3), i - F.get(a, k - 1)))), F.lit(0), lambda acc, x: acc + F.coalesce(x, F.lit(0)))
-    n = F.size(w).cast("long")
-    measured = F.struct(
-        n.alias("n_words"),
-        (F.length("_text") - _without(F.col("_text"), _SPACE)).cast("long").alias("word_chars"),
-        _without(F.col("_text"), _SYMBOLS).alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        covered.cast("long").alias("n_repeat_words"),
-        F.size("_lines").cast("long").alias("lines"),
-        (F.length("_text") - F.length(F.regexp_replace("_text", "\\p{Lu}", ""))).cast("long").alias("capitals"),
-        (n - F.size(F.array_distinct(w))).cast("long").alias("same"),
-        (F.length("_text") - F.length(F.regexp_replace("_text", "[^\\p{L}\\p{N}\\x20\\x09-\\x0D]", ""))).cast("long").alias("others"),
-        _without(F.col("_text"), "!?").alias("marks"),
-    )
-    return df.withColumn("_m", measured).drop("_text", "_words", "_lines", "_sorted", "_again")
+
+    def counts(w: Column, lines: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            _count(text, "[#*$%&|<>]+").alias("n_symbols"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            _repeat_words(w).cast("long").alias("n_repeat_words"),
+            F.size(lines).cast("long").alias("lines"),
+            _count(text, "\\p{Lu}+").alias("capitals"),
+            _count(text, "[!?]+").alias("marks"),
+            (F.size(w) - F.size(F.array_distinct(w))).cast("long").alias("same"),
+            _count(text, "[^\\p{L}\\p{N}\\x20\\x09-\\x0D]+").alias("others"),
+        )
+
+    words = F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    return df.withColumn("_m", _let(F.struct(words.alias("w"), lines.alias("l")), lambda x: counts(x["w"], x["l"])))
 
 
 def votes(m: Column) -> Column:
@@ -129,12 +139,18 @@ def expectation_maximisation(patterns: dict[str, int], rounds: int = 200) -> dic
     return good
 
 
-def judge(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds the counts, ``votes``, ``posterior``, ``base_failed`` and ``kept``."""
+def judge(df: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """Adds the counts, ``votes``, ``posterior``, ``base_failed`` and ``kept``.
+
+    Without the text in the result, the counts are made once and kept in the shared folder; with it they are made twice,
+    for the table of votes and for the result, which costs less than keeping the texts.
+    """
     names = {c: fresh(df, c) for c in (*COUNTS, "votes", "posterior", "base_failed", "kept")}
     measured = _measures(df, text_col)
     m = F.col("_m")
     measured = measured.withColumns({**{names[c]: m[c] for c in COUNTS}, names["votes"]: votes(m)}).drop("_m")
+    if not keep_text:
+        measured = cut(measured.drop(text_col))
     counted = measured.groupBy(F.col(names["votes"]).alias("v")).count().collect()  # at most 3**rules rows
     posterior = expectation_maximisation({r["v"]: r["count"] for r in counted})
     rows = sorted(posterior.items()) or [("", 0.0)]

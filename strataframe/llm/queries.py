@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, license_scan, packing, pu_quality, quality_rules, sharding, sstable, substring_dedup
+from . import bpe, license_scan, ngram_join, packing, pu_quality, quality_rules, sharding, sstable, substring_dedup, weighted_fingerprint
 from .common import new_folder, table
 
 #: Folder of the vocabulary files.
@@ -34,11 +34,19 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(documents)
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_fingerprint.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.shard(documents, SHARD_NAMES).select("doc_id", "shard")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = license_scan.scan(documents)
@@ -47,7 +55,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality_rules.judge(documents)
+    judged = quality_rules.judge(documents, keep_text=False)
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "votes", F.round("posterior", 6).alias("posterior"))
 
 
@@ -62,5 +70,5 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read(spark, shards, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_pu_quality, op3_substring_dedup, op5_sharding, op7_license_scan, op8_quality_rules, op9_packing, op10_sstable)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_pu_quality, op3_substring_dedup, op4_fingerprint, op5_sharding, op6_ngram_join, op7_license_scan, op8_quality_rules, op9_packing, op10_sstable)}
 ORACLE: dict[str, str] = {}
