@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -35,8 +36,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Computes ``df`` once and goes on from files in the shared folder, so that lost executors cost no recomputation of what lies before."""
+    """Computes ``df`` once and goes on from files in the shared folder, so that lost executors cost no recomputation of what lies before.
+
+    Shuffle files of tables that were cut before and that nothing refers to any more are let go first.
+    """
     shared_dir(df.sparkSession)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()  # Spark removes shuffle files when their plan is collected
     return df.checkpoint(eager=True)
 
 

@@ -42,7 +42,7 @@ from .shingles import WIDTH, WordHashes, mix, shingle_set
 PERCENT = 80
 #: The table of counters has 2**COUNTER_BITS of them, in blocks of 2**BLOCK_BITS.
 COUNTER_BITS, BLOCK_BITS = 22, 16
-#: Lists of at most so many documents give all their pairs.
+#: Lists of at most so many documents give all their pairs; four times as many with each round.
 DIRECT = 3
 #: Broadcasts of identifiers up to so many; beyond, a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -137,6 +137,11 @@ def _rank(shingles: np.ndarray, counters: np.ndarray, bits: int) -> tuple[np.nda
     return shingles[order], n[order]
 
 
+def _standing(counts: np.ndarray) -> int:
+    """Rank of a document: how common its shingles are, and below it how many they are."""
+    return (int(float(np.log2(counts).mean()) * (1 << 20)) << 32 | len(counts)) if len(counts) else 0
+
+
 def _info(docs: DataFrame, counters, width: int, bits: int, percent: int, limit: int) -> DataFrame:
     """id, n, digest of the set, rank (commonness of its shingles above, n below) and short lists of each document.
 
@@ -155,8 +160,7 @@ def _info(docs: DataFrame, counters, width: int, bits: int, percent: int, limit:
                     ranked, n = _rank(s, table, bits)
                     p = len(s) - least_common(len(s), percent) + 1 if len(s) else 0
                     cool = int(np.searchsorted(n[:p], limit, "right"))
-                    common = int(float(np.log2(n).mean()) * (1 << 20)) if len(s) else 0
-                    rank.append(common << 32 | len(s))
+                    rank.append(_standing(n))
                     short.append(ranked[:cool].view(np.int64))
                     hot.append(ranked[cool:p].view(np.int64))
                 lists = pa.list_(pa.int64())
@@ -204,31 +208,65 @@ def _short_lists(x: np.ndarray, y: np.ndarray, centre: int, link: bool, table: n
     return first, mix(ranked[:last] ^ salt).view(np.int64)
 
 
-def _compare(sets: DataFrame, pairs: DataFrame, counters, bits: int, percent: int) -> DataFrame:
-    """For pairs (a, b, star): whether they link, and for star pairs b's short lists within the group of a."""
+#: So many comparisons with one centre go to one task.
+_TOGETHER = 64
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = counters.value
+
+def _compare(docs: DataFrame, pairs: DataFrame, counters, width: int, bits: int, percent: int, broadcast_ids: int) -> DataFrame:
+    """For pairs (a, b, star): whether they link, and for star pairs b's short lists within the group of a.
+
+    Each document of a pair makes its set once and sends it to where its partners a are; a centre with many partners
+    sends its own set to several places, among which they are dealt.
+    """
+    places = F.ceil(F.count("*") / _TOGETHER).cast("int")
+    centres = pairs.groupBy("a").agg(places.alias("places"))
+    seat = F.pmod(F.xxhash64("b"), F.col("places").cast("long")).cast("int")
+    partners = pairs.join(centres, "a").groupBy(F.col("b").alias("id")).agg(F.collect_list(F.struct("a", seat.alias("place"), "star")).alias("partners"))
+    wanted = cut(partners.join(centres.withColumnRenamed("a", "id"), "id", "full"))
+    sent = pa.schema([("a", pa.int64()), ("place", pa.int32()), ("kind", pa.int32()), ("b", pa.int64()), ("star", pa.bool_()), ("rank", pa.int64()), ("set", pa.binary())])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, table = WordHashes(), counters.value
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
-                batch = whole.slice(k, 500)
-                linked, firsts, keys = [], [], []
-                for a, star, sa, sb in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "star", "set_a", "set_b")), strict=True):
-                    x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
-                    small, large = (x, y) if len(x) < len(y) else (y, x)
-                    at = np.searchsorted(large, small)  # binary probes of all lists of the smaller set
-                    link = links(len(x), len(y), int((large[np.minimum(at, len(large) - 1)] == small).sum()), percent)
-                    first, own = _short_lists(x, y, a, link, table, bits, percent) if star else (0, [])
-                    linked.append(link)
-                    firsts.append(first)
-                    keys.append(own)
-                picked = [batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "rank_b")]
-                yield pa.RecordBatch.from_arrays([*picked, pa.array(linked, pa.bool_()), pa.array(firsts, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["a", "b", "rank", "link", "first", "keys"])
-
-    left = sets.select(F.col("id").alias("a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("set").alias("set_b"), F.col("rank").alias("rank_b"))
-    joined = pairs.join(right.hint("shuffle_merge"), "b").join(left.hint("shuffle_merge"), "a").select("a", "b", "star", "rank_b", "set_a", "set_b")
-    return joined.mapInArrow(run, "a long, b long, rank long, link boolean, first long, keys array<long>")
+                rows = []
+                for x in whole.slice(k, 500).to_pylist():
+                    s = shingle_set(x["text"], memo, width)
+                    raw, rank = s.tobytes(), _standing(_rank(s, table, bits)[1])
+                    rows += [(x["id"], i, 0, x["id"], False, rank, raw) for i in range(x["places"] or 0)]
+                    rows += [(p["a"], p["place"], 1, x["id"], p["star"], rank, raw) for p in x["partners"] or ()]
+                    if len(rows) > 1000:
+                        yield _batch(rows, sent)
+                        rows = []
+                if rows:
+                    yield _batch(rows, sent)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, x = counters.value, None
+        for batch in batches:
+            rows = []
+            for a, kind, b, star, rank, raw in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("a", "kind", "b", "star", "rank", "set")), strict=True):
+                y = np.frombuffer(raw.as_py(), np.uint64)
+                if not kind.as_py():  # sorted before its partners
+                    x = y
+                    continue
+                small, large = (x, y) if len(x) < len(y) else (y, x)
+                at = np.searchsorted(large, small)  # binary probes of all lists of the smaller set
+                link = links(len(x), len(y), int((large[np.minimum(at, len(large) - 1)] == small).sum()), percent)
+                first, own = _short_lists(x, y, a.as_py(), link, table, bits, percent) if star.as_py() else (0, [])
+                rows.append((a.as_py(), b.as_py(), rank.as_py(), link, first, own))
+            if rows:
+                yield _batch(rows, told)
+
+    told = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("rank", pa.int64()), ("link", pa.bool_()), ("first", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    few = wanted.count() <= broadcast_ids
+    texts = docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_merge"), "id")
+    dealt = texts.mapInArrow(send, "a long, place int, kind int, b long, star boolean, rank long, set binary").repartition("a", "place").sortWithinPartitions("a", "place", "kind")
+    return dealt.mapInArrow(compare, "a long, b long, rank long, link boolean, first long, keys array<long>")
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 def _only(df: DataFrame, ids: DataFrame, broadcast_ids: int, how: str = "left_semi") -> DataFrame:
@@ -259,13 +297,13 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     many = alone.select("id", "rank", F.explode("hot").alias("key"))
     centres = many.groupBy("key").agg(F.max(F.struct(F.col("rank").alias("rank"), (-F.col("id")).alias("less"))).alias("best"), F.count("*").alias("size")).where("size > 1")
     stars = many.join(F.broadcast(centres), "key").select((-F.col("best.less")).alias("a"), F.col("id").alias("b"))
-    found, sets, level = spark.createDataFrame([], "a long, b long"), None, 0
+    found, level = spark.createDataFrame([], "a long, b long"), 0
     n = F.col("rank").bitwiseAND(F.lit((1 << 32) - 1))
     while True:
-        small, large = _split(lists, direct)
+        small, large = _split(lists, direct * 4**level)  # the lists get shorter, so that few rounds are left
         star = large.select(F.col("centre").alias("a"), F.col("id").alias("b"))
         extra = [] if level == 0 else ["link", "first", "at"]
-        cells = small.groupBy("key").agg(F.collect_list(F.struct("id", n.alias("n"), *extra)).alias("m"))  # at most ``direct`` members
+        cells = small.groupBy("key").agg(F.collect_list(F.struct("id", n.alias("n"), *extra)).alias("m"))  # at most direct * 4**level members
         each = cells.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where((F.col("x.id") < F.col("y.id")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
         if level == 0:
             star = star.unionByName(stars)
@@ -276,26 +314,12 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         pairs = cut(pairs.groupBy("a", "b").agg(F.max("star").alias("star")))
         if pairs.isEmpty():
             return nodes, found
-        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        if sets is None:
-            sets = cut(_sets_of(_only(docs, wanted, broadcast_ids), _only(info.select("id", "rank"), wanted, broadcast_ids), width))
-        checked = cut(_compare(_only(sets, wanted, broadcast_ids), pairs, counters, counter_bits, percent))
+        checked = cut(_compare(docs, pairs, counters, width, counter_bits, percent, broadcast_ids))
         found = found.unionByName(checked.where("link").select("a", "b"))
         lists = checked.select(F.col("b").alias("id"), "rank", "link", "first", F.posexplode("keys").alias("at", "key"))
         level += 1
 
 
-def _sets_of(docs: DataFrame, ranks: DataFrame, width: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
-        for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                rows = list(_sets(whole.slice(k, 1000), memo, width))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1].tobytes() for r in rows], pa.binary())], names=["id", "set"])
-
-    return docs.mapInArrow(run, "id long, set binary").join(ranks, "id")
-
-
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest identifier that links reach. nodes: id; edges: a, b.
 
