@@ -1,5 +1,7 @@
 """All queries of the library by name, with the SQL that gives the same rows in DuckDB where SQL can express it."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from strataframe.plans import catalog_queries, frame_queries
+
+QUERIES: dict = {**frame_queries.QUERIES, **catalog_queries.QUERIES}
+ORACLE: dict = {**frame_queries.ORACLE, **catalog_queries.ORACLE}
 FLAGSHIP = "frame_index"
