@@ -41,23 +41,26 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-CENTS = F.round(F.col("o_totalprice") * 100).cast("long")
+def cents():
+    return F.round(F.col("o_totalprice") * 100).cast("long")
+
+
 CENTS_SQL = "cast(round(o_totalprice * 100) as bigint)"
 
 
 @query(f"select o_orderpriority, count(*) n, sum({CENTS_SQL})::bigint total_bytes from orders group by 1")
 def a3_kind_rollup(spark, d):
-    return C.rollup(read(spark, d, "orders"), ["o_orderpriority"], CENTS)
+    return C.rollup(read(spark, d, "orders"), ["o_orderpriority"], cents())
 
 
 @query(f"select o_orderpriority, o_orderstatus, year(o_orderdate)::int y, count(*) n, sum({CENTS_SQL})::bigint total_bytes from orders group by 1, 2, 3")
 def a4_multi_key_rollup(spark, d):
-    return C.rollup(read(spark, d, "orders").withColumn("y", F.year("o_orderdate")), ["o_orderpriority", "o_orderstatus", "y"], CENTS)
+    return C.rollup(read(spark, d, "orders").withColumn("y", F.year("o_orderdate")), ["o_orderpriority", "o_orderstatus", "y"], cents())
 
 
 @query(f"select o_orderstatus, count(*) n, sum({CENTS_SQL})::bigint total_bytes, round(100.0 * sum({CENTS_SQL})::double / (select sum({CENTS_SQL}) from orders)::double, 4) percent from orders group by 1")
 def a5_share_of_total(spark, d):
-    return C.share(read(spark, d, "orders"), ["o_orderstatus"], CENTS)
+    return C.share(read(spark, d, "orders"), ["o_orderstatus"], cents())
 
 
 @query("""select l_suppkey, v modal_value, n modal_count from (select *, row_number() over (partition by l_suppkey order by n desc, seen) r from
@@ -77,7 +80,7 @@ both("a8_conditional_counts", "select l_shipmode_like, count(*) n, sum(case when
 
 @query(f"select o_orderpriority, min({CENTS_SQL}) smallest, max({CENTS_SQL}) largest, arg_max(o_orderkey, {CENTS_SQL} * 1000000000 - o_orderkey) largest_key from orders group by 1")
 def a9_extremes(spark, d):
-    o = read(spark, d, "orders").withColumn("c", CENTS)
+    o = read(spark, d, "orders").withColumn("c", cents())
     return o.groupBy("o_orderpriority").agg(F.min("c").alias("smallest"), F.max("c").alias("largest"), F.max_by("o_orderkey", F.struct("c", -F.col("o_orderkey"))).alias("largest_key"))
 
 
