@@ -11,7 +11,7 @@ bit turned over, so that keys order as identifiers do, null first. A value is on
 and the ids, little-endian.
 
 Cases: null or empty texts have only the end id. Repeated identifiers are entries with the same key, in the order of
-their texts; a lookup gives all. Extra columns are not written. Texts of any length are one entry. An empty table gives
+a hash of their texts; a lookup gives all. Extra columns are not written. Texts of any length are one entry. An empty table gives
 no shard. Shards are written under another name and moved, so a task that runs again replaces what it wrote.
 """
 
@@ -202,7 +202,8 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, id_c
     One entry of the list for each shard, of which there are as many as shuffle partitions.
     """
     ordered = df.select(F.col(id_col).cast("long").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = ordered.repartitionByRange(F.asc_nulls_first("key"), F.asc("text")).sortWithinPartitions(F.asc_nulls_first("key"), F.asc("text"))
+    # the boundaries are sampled keys, which must be small; equal keys with equal texts stay together
+    ordered = ordered.withColumn("h", F.xxhash64("text")).repartitionByRange(F.asc_nulls_first("key"), "h").sortWithinPartitions(F.asc_nulls_first("key"), "h").drop("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept((tokenizer_path, spaces), lambda: library_encoder(tokenizer_path, spaces))
