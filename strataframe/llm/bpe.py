@@ -135,7 +135,7 @@ class Encoder:
         self.ranks = ranks
         self.table = table or PerfectHash(ranks)
         self.find = regex.compile(pattern).findall
-        self.units = UnitEncoder(spaced_units, lambda texts: [self._cut(t) for t in texts])
+        self.units = UnitEncoder(spaced_units, lambda texts: [self._cut(t) for t in texts], bound=300_000)
 
     def _cut(self, text: str) -> bytes:
         ids: list[int] = []
