@@ -111,6 +111,8 @@ def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     edited = F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 4))"), F.col("begin"))
     both = placed.join(begins, ["key", "h"]).withColumn("edited", edited)
     own = ["key", "h"]
+    # cut before the terms are made, so that the shuffles of the texts for one and the other don't lie side by side
+    base = cut(both.select(*own, "n_chars", "copies", "next_key", "next_h", F.sha2("edited", 256).alias("edited_sha256")).dropDuplicates(own))
     # words of both texts, the number of copies of a row taken out; where weights agree a term is sampled once for both
     sides = both.select(*own, "copies", F.explode(F.array(F.struct(F.lit(True).alias("mine"), F.col("text").alias("t")), F.struct(F.lit(False).alias("mine"), F.col("edited").alias("t")))).alias("s"))
     each = sides.select(*own, "copies", F.col("s.mine").alias("mine"), F.explode(words(F.col("s.t"))).alias("word")).where("word <> ''")
@@ -124,7 +126,6 @@ def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     )
     zero = "0" * (_BITS // 4 * samples)
     prints = cut(least.select(*own, F.coalesce(as_text([F.col(f"a{k}") for k in range(samples)]), F.lit(zero)).alias("fingerprint"), F.coalesce(as_text([F.col(f"b{k}") for k in range(samples)]), F.lit(zero)).alias("edited_fingerprint")))
-    base = both.select(*own, "n_chars", "copies", "next_key", "next_h", F.sha2("edited", 256).alias("edited_sha256")).dropDuplicates(own)
     following = prints.select(F.col("key").alias("next_key"), F.col("h").alias("next_h"), F.col("fingerprint").alias("next_fingerprint"))
     out = base.join(prints, own, "left").join(following, ["next_key", "next_h"], "left")
     out = out.withColumns({c: F.coalesce(c, F.lit(zero)) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint")})
