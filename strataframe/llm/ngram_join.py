@@ -42,8 +42,8 @@ from .shingles import WIDTH, WordHashes, mix, shingle_set
 PERCENT = 80
 #: The table of counters has 2**COUNTER_BITS of them, in blocks of 2**BLOCK_BITS.
 COUNTER_BITS, BLOCK_BITS = 22, 16
-#: Lists of at most so many documents give all their pairs; four times as many with each round.
-DIRECT = 3
+#: Lists of at most so many documents give all their pairs; twice as many with each round.
+DIRECT = 4
 #: Broadcasts of identifiers up to so many; beyond, a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Shingles that at least one document in so many has are dealt by their centre, not by a shuffle on the shingle.
@@ -300,16 +300,17 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     found, level = spark.createDataFrame([], "a long, b long"), 0
     n = F.col("rank").bitwiseAND(F.lit((1 << 32) - 1))
     while True:
-        small, large = _split(lists, direct * 4**level)  # the lists get shorter, so that few rounds are left
+        small, large = _split(lists, direct * 2**level)  # the lists get shorter, so that few rounds are left
         star = large.select(F.col("centre").alias("a"), F.col("id").alias("b"))
-        extra = [] if level == 0 else ["link", "first", "at"]
-        cells = small.groupBy("key").agg(F.collect_list(F.struct("id", n.alias("n"), *extra)).alias("m"))  # at most direct * 4**level members
-        each = cells.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where((F.col("x.id") < F.col("y.id")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
+        extra = [] if level == 0 else ["link", (F.col("at") < F.col("first")).alias("strict")]
+        # at most direct * 2**level members; of lists with the same members one is enough
+        cells = small.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", n.alias("n"), *extra))).alias("m")).select("m").distinct()
+        each = cells.select(F.posexplode("m").alias("i", "x"), "m").select("x", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("y"))
+        each = each.where((F.col("x.id") < F.col("y.id")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
         if level == 0:
             star = star.unionByName(stars)
         else:
-            strict = (F.col("x.at") < F.col("x.first")) & (F.col("y.at") < F.col("y.first"))
-            each = each.where((F.col("x.link") != F.col("y.link")) | (~F.col("x.link") & strict))
+            each = each.where((F.col("x.link") != F.col("y.link")) | (~F.col("x.link") & F.col("x.strict") & F.col("y.strict")))
         pairs = each.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(False).alias("star")).unionByName(star.where("a <> b").withColumn("star", F.lit(True)))
         pairs = cut(pairs.groupBy("a", "b").agg(F.max("star").alias("star")))
         if pairs.isEmpty():
