@@ -59,6 +59,8 @@ def even_picks(n: int, k: int) -> list[int]:
         return []
     if k == 1:
         return [0]
+    if k >= n:
+        return list(range(n))
     return sorted({i * (n - 1) // (k - 1) for i in range(k)})
 
 
