@@ -47,8 +47,11 @@ def _sample(term: Column, log_weight: Column, k: int) -> Column:
     b = _unit(one.bitwiseXOR(two), 52, 12)
     t = F.floor(log_weight / r + b)
     value = F.ln(c) - r * (t - b + 1.0)
-    upper = F.greatest(F.lit(0), F.least(F.lit((1 << 39) - 1), ((value + 400.0) * float(1 << 30)).cast("long")))
-    return F.shiftleft(upper, _BITS).bitwiseOR(F.xxhash64(term, t, F.lit(k)).bitwiseAND(F.lit((1 << _BITS) - 1)))
+    # r and c are in (0, 38) and c is above 2**-54, so the value is between -160 and 4 for any weight a long holds
+    upper = ((value + 400.0) * float(1 << 30)).cast("long")
+    # the term's upper bits of both hashes, which r and c don't use, moved on by t
+    own = F.shiftleft(F.shiftrightunsigned(one, 52), 12).bitwiseOR(F.shiftrightunsigned(two, 52)) + t * F.lit(0x9E3779)
+    return F.shiftleft(upper, _BITS).bitwiseOR(own.bitwiseAND(F.lit((1 << _BITS) - 1)))
 
 
 def sketches(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
