@@ -114,23 +114,25 @@ def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     edited = F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 4))"), F.col("begin"))
     both = placed.join(begins, ["key", "h"]).withColumn("edited", edited)
     own = ["key", "h"]
-    # cut before the terms are made, so that the shuffles of the texts for one and the other don't lie side by side
-    base = cut(both.select(*own, "n_chars", "copies", "next_key", "next_h", F.sha2("edited", 256).alias("edited_sha256")).dropDuplicates(own))
-    # words of both texts, the number of copies of a row taken out; where weights agree a term is sampled once for both
-    sides = both.select(*own, "copies", F.explode(F.array(F.struct(F.lit(True).alias("mine"), F.col("text").alias("t")), F.struct(F.lit(False).alias("mine"), F.col("edited").alias("t")))).alias("s"))
+    # words of both texts, the number of copies of a row taken out; where weights agree a term is sampled once for both.
+    # The edited text's digest comes along as a part without words (mine is null), so that texts are dealt out once
+    piece = lambda mine, t: F.struct(F.lit(mine).cast("boolean").alias("mine"), t.alias("t"))
+    sides = both.select(*own, "copies", F.explode(F.array(piece(True, F.col("text")), piece(False, F.col("edited")), piece(None, F.sha2("edited", 256)))).alias("s"))
     each = sides.select(*own, "copies", F.col("s.mine").alias("mine"), F.explode(words(F.col("s.t"))).alias("word")).where("word <> ''")
-    counts = each.groupBy(*own, "copies", F.xxhash64("word").alias("term")).agg(F.count_if("mine").alias("a"), F.count_if(~F.col("mine")).alias("b"))
-    parts = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.lit(2).alias("side"), F.col("a").alias("w")))).otherwise(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("w")), F.struct(F.lit(1).alias("side"), F.col("b").alias("w"))))
-    terms = counts.select(*own, "term", F.explode(parts).alias("p"), "copies").where("p.w > 0").select(*own, "term", F.col("p.side").alias("side"), (F.col("p.w") / F.col("copies")).alias("weight"))
-    made = sketches(terms, [*own, "side"], samples)
+    digest = F.when(F.col("mine").isNull(), F.col("word")).alias("digest")  # a key, as texts in buffers make aggregation sort
+    counts = each.groupBy(*own, "copies", F.xxhash64("word").alias("term"), digest).agg(F.count_if("mine").alias("a"), F.count_if(~F.col("mine")).alias("b"))
+    parts = F.when(F.col("digest").isNotNull(), F.array(F.struct(F.lit(3).alias("side"), F.lit(1).cast("long").alias("w")))).when(F.col("a") == F.col("b"), F.array(F.struct(F.lit(2).alias("side"), F.col("a").alias("w")))).otherwise(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("w")), F.struct(F.lit(1).alias("side"), F.col("b").alias("w"))))
+    terms = counts.select(*own, "term", "digest", F.explode(parts).alias("p"), "copies").where("p.w > 0").select(*own, "term", "digest", F.col("p.side").alias("side"), (F.col("p.w") / F.col("copies")).alias("weight"))
+    made = sketches(terms, [*own, "side", "digest"], samples)
     least = made.groupBy(*own).agg(
-        *[F.min(F.when(F.col("side") != 1, F.col(f"s{k}"))).alias(f"a{k}") for k in range(samples)],
-        *[F.min(F.when(F.col("side") != 0, F.col(f"s{k}"))).alias(f"b{k}") for k in range(samples)],
+        F.max("digest").alias("edited_sha256"),
+        *[F.min(F.when(F.col("side").isin(0, 2), F.col(f"s{k}"))).alias(f"a{k}") for k in range(samples)],
+        *[F.min(F.when(F.col("side").isin(1, 2), F.col(f"s{k}"))).alias(f"b{k}") for k in range(samples)],
     )
     zero = "0" * (_BITS // 4 * samples)
-    prints = cut(least.select(*own, F.coalesce(as_text([F.col(f"a{k}") for k in range(samples)]), F.lit(zero)).alias("fingerprint"), F.coalesce(as_text([F.col(f"b{k}") for k in range(samples)]), F.lit(zero)).alias("edited_fingerprint")))
+    prints = cut(least.select(*own, "edited_sha256", F.coalesce(as_text([F.col(f"a{k}") for k in range(samples)]), F.lit(zero)).alias("fingerprint"), F.coalesce(as_text([F.col(f"b{k}") for k in range(samples)]), F.lit(zero)).alias("edited_fingerprint")))
     following = prints.select(F.col("key").alias("next_key"), F.col("h").alias("next_h"), F.col("fingerprint").alias("next_fingerprint"))
-    out = base.join(prints, own, "left").join(following, ["next_key", "next_h"], "left")
+    out = order.select(*own, "n_chars", "copies", "next_key", "next_h").join(prints, own).join(following, ["next_key", "next_h"], "left")
     out = out.withColumns({c: F.coalesce(c, F.lit(zero)) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint")})
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select(
