@@ -26,3 +26,13 @@ def test_listing_and_headers(spark, tmp_path):
     assert {r.key: r.value for r in files.key_values(spark, str(tmp_path / "x" / "r.meta")).collect()} == {"nSavedChans": "385", "imSampRate": "30000"}
     blob = spark.read.format("binaryFile").load(str(tmp_path / "x" / "y"))
     assert tuple(blob.select(files.array_shape(blob["content"]).alias("s")).first().s) == (3, 5)
+
+
+def test_event_windows_on_a_stream(spark, tmp_path):
+    rows = spark.sql("select timestamp_seconds(1700000000 + 900 * id) ts, if(id % 2 = 0, 'a', 'b') event_type, double(id) value from range(20)")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    query = incremental.event_windows(stream).writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    assert query.awaitTermination(60)
+    assert sorted(spark.table("windows").collect()) == sorted(incremental.event_windows(rows).collect())
+    assert sum(r.n for r in spark.table("windows").collect()) == 20
