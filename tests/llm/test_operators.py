@@ -265,3 +265,14 @@ def test_classifier_holds_out_well(spark):
     assert np.mean([(got[i] >= 0.3) == (q == 1) for i, q in held]) > 0.9
     assert pu_quality.train(docs, marks.where("quality = 7")) == (None, 0.5)
     assert not pu_quality.measures(None, WordHashes()).any()
+
+
+def test_fingerprints_of_odd_rows(spark):
+    schema = "doc_id long, text string, copies long"
+    rows = [(None, "z z y", 1), (1, None, 1), (2, "", 1), (3, "a b c d", 1), (3, "a b c d", 1), (4, "A B c  d", 9)]
+    got = weighted_fingerprint.with_edits(spark.createDataFrame(rows, schema), samples=8).collect()
+    assert sorted((r.doc_id or 0, r.n_chars) for r in got) == [(0, 5), (1, 0), (2, 0), (3, 7), (3, 7), (4, 8)]
+    at = {r.doc_id: r for r in got}
+    assert at[3].fingerprint == at[4].fingerprint and set(at[1].fingerprint) == {"0"} and at[1].near_next == 1.0 and at[2].near_next == 0.0
+    assert at[4].edited_sha256 == hashlib.sha256(b"A B c z ").hexdigest() and at[1].edited_sha256 == hashlib.sha256(b"").hexdigest()
+    assert weighted_fingerprint.with_edits(spark.createDataFrame([], schema), samples=8).count() == 0
