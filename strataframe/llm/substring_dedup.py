@@ -1,29 +1,30 @@
-"""Removal of repeated passages by hashing units of lines.
+"""Removal of repeated passages by hashing windows of words and whole lines.
 
-A line is cut into units: a unit begins at the start of the line, at a word that starts with a capital and is not all
-capitals, and at words that the hash of their text picks (one in sixteen), so that a passage falls into the same units
-wherever it stands in a line. A unit is normalised (lower case, single spaces) and hashed; the digests of all documents
-are grouped; the occurrence in the document with the smallest identifier (and there the first) stays, all others are
-repeats. Repeats are removed where a run of them covers a whole line or has at least ``min_words`` words; shorter runs
-inside a line stay, as common phrases do. What is removed is kept as offsets (code points) into the original text.
+A text is its lower-cased words, whatever white space and line feeds stand between them. Windows of ``min_words`` words
+are hashed where the text itself says so: at each word whose pair with the next has the least hash among some ``SPAN``
+neighbouring words, and at both ends of the text. As that depends on words of the passage only, every passage of
+``min_words + SPAN - 1`` words or more that stands in two texts has a window that both hash, wherever it begins, in any
+case and over line feeds; all of it but at most ``SPAN - 1`` words at each end is covered. Each whole line is hashed too, of
+any length. The digests of all documents are grouped; the occurrence in the document with the smallest identifier (and
+there the first; occurrences that overlap it don't count) stays, all others are removed: lines with their line feed, and
+the words of windows. What is removed is kept as offsets (code points) into the original text.
 
 Scale: each document sends a digest once; digests are pre-aggregated to (smallest id, largest id, count) before the
 shuffle, so a line that a third of all documents share is a few rows. Only digests of two or more documents go back to
 the documents: by a broadcast if there are at most ``broadcast_rows`` of them; otherwise the frequent ones (of which
 there can be few) by a broadcast and the others by a shuffle in which no key is frequent.
 
-Cases: null and empty texts have no units and stay as they are. A null identifier ranks first. Rows with one identifier
+Cases: null and empty texts have no words and stay as they are. A null identifier ranks first. Rows with one identifier
 don't count as repeats of each other, so repeated rows are all treated like the first of them. Texts of any length are
 cut whole. Extra columns pass through; output columns that clash get a number. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,111 +32,158 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import cut, fresh
+from .shingles import mix
 
 MIN_WORDS = 25
+#: Among so many neighbouring words at least one begins a window.
+SPAN = 10
 BROADCAST_ROWS = 500_000
 _WORD = re.compile(r"\S+")
 _NULL_ID = -(1 << 63)
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD95)
+_PAIR = np.uint64(0xBF58476D1CE4E5B9)
 
 
-class Starts(dict):
-    """Word -> whether it begins a unit; remembered up to a bound."""
+class Words(dict):
+    """Word -> 16 bytes of hash of its lower case; remembered up to a bound."""
 
-    def __missing__(self, word: str) -> bool:
-        if len(self) > 500_000:
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > 400_000:
             self.clear()
-        capital = word[:1].isupper() and not (len(word) > 1 and word.isupper())
-        self[word] = value = capital or int(hashlib.md5(word.lower().encode("utf-8", "surrogatepass")).hexdigest()[:1], 16) == 0
+        value = xxhash.xxh3_128_digest(word.lower().encode("utf-8", "surrogatepass"))
+        if len(word) <= 64:
+            self[word] = value
         return value
 
 
-def line_units(words: list[str], starts: Starts) -> list[tuple[int, int]]:
-    """(first word, word after the last) of each unit of a line."""
-    if not words:
-        return []
-    marks = [i for i, s in enumerate(map(starts.__getitem__, words)) if s and i]
-    return list(zip([0, *marks], [*marks, len(words)], strict=True))
-
-
-def normal(words: list[str]) -> str:
-    return " ".join(words).lower()
-
-
-def digests(text: str | None, starts: Starts) -> set[bytes]:
-    """Digests of a text's units."""
-    found = set()
+class Powers:
+    """Powers of the two bases and of their inverses modulo 2**64, as many as the longest text so far has words."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones((1, 2), np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            k = len(self.up)
+            step = np.array([[pow(b, k, 1 << 64) for b in _BASES], [pow(b, -k, 1 << 64) for b in _BASES]], np.uint64)
+            self.up, self.down = np.vstack([self.up, self.up * step[0]]), np.vstack([self.down, self.down * step[1]])
+        return self.up, self.down
+
+
+def window_starts(first: np.ndarray, width: int) -> np.ndarray:
+    """Words at which a window of ``width`` words is hashed. first: a hash of each word."""
+    n = len(first)
+    if n < width:
+        return np.empty(0, np.int64)
+    rank = first * _PAIR
+    rank[:-1] += first[1:]
+    rank = mix(rank)
+    span = min(SPAN, n)
+
+    def slide(x: np.ndarray, least: np.ufunc) -> np.ndarray:
+        """least of each ``span`` neighbours."""
+        have = 1
+        while have < span:
+            more = min(have, span - have)
+            x = least(x[: len(x) - more], x[more:])
+            have += more
+        return x
+
+    low = slide(rank, np.minimum)
+    # a word is the least of some span if the greatest of the least values of the spans around it is its own
+    low = np.concatenate([np.zeros(span - 1, np.uint64), low, np.zeros(span - 1, np.uint64)])
+    begins = slide(low, np.maximum) == rank
+    begins[0] = begins[n - width] = True
+    return np.flatnonzero(begins[: n - width + 1])
+
+
+def digests(text: str | None, min_words: int, words: Words, powers: Powers) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, word after the last) of each line, first words of the windows, and the two parts of the digests of the lines that have words and then of the windows."""
+    found, bounds = [], []
     for line in (text or "").split("\n"):
-        words = line.split()
-        found.update(xxhash.xxh3_128_digest(normal(words[a:b]).encode("utf-8", "surrogatepass")) for a, b in line_units(words, starts))
-    return found
-
-
-def remove(text: str, foreign: set[bytes], min_words: int, starts: Starts) -> tuple[str, list[tuple[int, int]]]:
+        bounds.append((len(found), len(found)))
+        if part := line.split():
+            found += part
+            bounds[-1] = (bounds[-1][0], len(found))
+    n = len(found)
+    if not n:
+        return bounds, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    hashes = np.frombuffer(b"".join(map(words.__getitem__, found)), "<u8").reshape(n, 2)
+    up, down = powers.upto(n)
+    sums = np.zeros((n + 1, 2), np.uint64)
+    np.cumsum(hashes * up[:n], axis=0, out=sums[1:])
+    begins = window_starts(hashes[:, 0], min_words)
+    lines = np.array([x for x in bounds if x[0] < x[1]], np.int64)
+    a, b = np.concatenate([lines[:, 0], begins]), np.concatenate([lines[:, 1], begins + min_words])
+    value = mix((sums[b] - sums[a]) * down[a])
+    return bounds, begins, value[:, 0].astype(np.int64), value[:, 1].astype(np.uint32).view(np.int32)
+
+
+def remove(text: str, foreign: set[tuple[int, int]], min_words: int, words: Words, powers: Powers) -> tuple[str, list[tuple[int, int]]]:
     """The text that stays and the removed spans. foreign: digests that a document of smaller identifier has."""
-    seen: set[bytes] = set()
-    kept, spans, at = [], [], 0
-    for line in text.split("\n"):
-        found = [(m.start(), m.end()) for m in _WORD.finditer(line)]
-        words = [line[a:b] for a, b in found]
-        cells = line_units(words, starts)
-        repeat = []
-        for a, b in cells:
-            d = xxhash.xxh3_128_digest(normal(words[a:b]).encode("utf-8", "surrogatepass"))
-            repeat.append(d in foreign or d in seen)
-            seen.add(d)
-        if cells and all(repeat):
+    bounds, begins, high, low = digests(text, min_words, words, powers)
+    keys = list(zip(high.tolist(), low.tolist(), strict=True))
+    filled = [x for x in bounds if x[0] < x[1]]
+    gone = np.zeros(bounds[-1][1], bool)
+    seen: set[tuple[int, int]] = set()
+    for (a, b), key in zip(filled, keys, strict=False):
+        if key in foreign or key in seen:
+            gone[a:b] = True
+        seen.add(key)
+    stays: dict[tuple[int, int], int] = {}
+    for a, key in zip(begins.tolist(), keys[len(filled) :], strict=True):
+        if key in foreign or stays.setdefault(key, a) + min_words <= a:
+            gone[a : a + min_words] = True
+    if not gone.any():
+        return text, []
+    spans, at = [], 0
+    for line, (a, b) in zip(text.split("\n"), bounds, strict=True):
+        here = gone[a:b]
+        if a < b and here.all():
             spans.append((at, min(at + len(line) + 1, len(text))))
-        elif any(repeat):
-            out, done, i = [], 0, 0
-            while i < len(cells):
-                j = i
-                while j < len(cells) and repeat[j]:
-                    j += 1
-                if j > i and cells[j - 1][1] - cells[i][0] >= min_words:
-                    begin = found[cells[i][0]][0]
-                    stop = found[cells[j][0]][0] if j < len(cells) else len(line)
-                    out.append(line[done:begin])
-                    spans.append((at + begin, at + stop))
-                    done = stop
-                i = max(j, i + 1)
-            kept.append("".join(out) + line[done:])
-        else:
-            kept.append(line)
+        elif here.any():
+            begin = [m.start() for m in _WORD.finditer(line)] + [len(line)]
+            edges = np.flatnonzero(np.diff(here, prepend=False, append=False)).tolist()
+            spans += [(at + begin[i], at + begin[j]) for i, j in zip(edges[::2], edges[1::2], strict=True)]
         at += len(line) + 1
-    return "\n".join(kept), spans
+    kept, done = [], 0
+    for a, b in spans:
+        kept.append(text[done:a])
+        done = b
+    return "".join(kept) + text[done:], spans
 
 
-def _digest_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _digest_rows(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """Rows (h1, h2, id): each digest of each document once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts = Starts()
-        names = ["h1", "h2", "id"]
+        words, powers = Words(), Powers()
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = 0
 
-        def made(raw: list[bytes], ids: list[int]) -> pa.RecordBatch:
-            flat = struct.unpack(f"<{2 * len(raw)}q", b"".join(raw))
-            return pa.RecordBatch.from_arrays([pa.array(flat[0::2], pa.int64()), pa.array(flat[1::2], pa.int64()), pa.array(ids, pa.int64())], names=names)
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["h1", "h2", "id"])
 
-        raw: list[bytes] = []
-        ids: list[int] = []
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = digests(text.as_py(), starts)
-                raw += found
-                ids += [key] * len(found)
-                if len(raw) > 100_000:
-                    yield made(raw, ids)
-                    raw, ids = [], []
-        if raw:
-            yield made(raw, ids)
+                _, _, high, low = digests(text.as_py(), min_words, words, powers)
+                _, at = np.unique(high, return_index=True)  # two digests of one text that share 64 bits are taken for one
+                parts.append((high[at], low[at], np.full(len(at), key, np.int64)))
+                held += len(at)
+                if held > 100_000:
+                    yield made()
+                    parts, held = [], 0
+        if parts:
+            yield made()
 
     picked = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "h1 long, h2 long, id long")
+    return picked.mapInArrow(run, "h1 long, h2 int, id long")
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with repeats removed from ``text_col``, and ``removed_spans`` (begin and stop in the original) added."""
-    cells = _digest_rows(df, id_col, text_col)
+    min_words = max(1, min_words)
+    cells = _digest_rows(df, id_col, text_col, min_words)
     grouped = cells.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("found"))
     shared = cut(grouped.where("first < last").select("h1", "h2", "first", "found"))
     if (n := shared.count()) <= broadcast_rows:
@@ -150,7 +198,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
         other = marked.where("first_hot is null").drop("first_hot").join(shared.where(F.col("found") < limit).drop("found").hint("shuffle_merge"), ["h1", "h2"]).where("id > first").select("h1", "h2", "id")
         again = frequent.unionByName(other)
     key, got = fresh(df, "dedup_key"), fresh(df, "foreign_digests")
-    foreign = again.groupBy(F.col("id").alias(key)).agg(F.collect_list(F.struct("h1", "h2")).alias(got))  # as many as a document has units
+    foreign = again.groupBy(F.col("id").alias(key)).agg(F.collect_list(F.struct("h1", "h2")).alias(got))  # as many as a document has windows and lines
     joined = df.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))).join(foreign, key, "left").drop(key)
     spans = fresh(df, "removed_spans")
     kept = df.columns
@@ -158,16 +206,15 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
     schema = T.StructType([*df.schema.fields, T.StructField(spans, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts = Starts()
-        pack = struct.Struct("<qq").pack
+        words, powers = Words(), Powers()
         target = pa.list_(pa.struct([("begin", pa.int64()), ("stop", pa.int64())]))
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 batch = whole.slice(k, 1000)
                 texts, removed = [], []
                 for text, found in zip(batch.column(batch.schema.get_field_index(text_col)).to_pylist(), batch.column(batch.schema.get_field_index(got)), strict=True):
-                    foreign = {pack(x["h1"], x["h2"]) for x in found.as_py() or ()}
-                    text, out = remove(text, foreign, min_words, starts) if text else (text, [])
+                    foreign = {(x["h1"], x["h2"]) for x in found.as_py() or ()}
+                    text, out = remove(text, foreign, min_words, words, powers) if text else (text, [])
                     texts.append(text)
                     removed.append([{"begin": a, "stop": b} for a, b in out])
                 arrays = [pa.array(texts, batch.schema.field(c).type) if c == text_col else batch.column(batch.schema.get_field_index(c)) for c in kept]

@@ -227,6 +227,47 @@ def test_passages_go_and_offsets_hold(spark):
         assert kept + (texts[i] or "")[at:] == (r.text or "") or r.text is None
 
 
+def rest_of(spark, texts):
+    """Document -> the words left of it, after a check that its spans give its text."""
+    out = {}
+    for r in substring_dedup.dedup(table(spark, texts)).collect():
+        kept, at = "", 0
+        for s in r.removed_spans:
+            kept += texts[r.doc_id][at : s.begin]
+            at = s.stop
+        assert kept + texts[r.doc_id][at:] == r.text
+        out[r.doc_id] = r.text.split()
+    return out
+
+
+def test_every_passage_of_over_50_words_goes(spark):
+    rnd = random.Random(3)
+    fill = lambda n: ["".join(rnd.choice("abcdefgh") for _ in range(8)) for _ in range(n)]
+    breaks = lambda words, n: " ".join(w + "\n" * (k % n == n - 1) for k, w in enumerate(words))
+    texts, passages = [], []
+    for k in range(40):
+        passage = fill(51)
+        passages.append(passage)
+        texts.append(" ".join([*fill(20), *passage, *fill(20)]))
+        around = [*fill(rnd.randint(0, 30)), *passage, *fill(rnd.randint(0, 30))]
+        texts.append([" ".join(around), breaks(around, 12), breaks(around, 7), " ".join(around) + "."][k % 4])
+    left = rest_of(spark, texts)
+    for k, passage in enumerate(passages):
+        assert left[2 * k] == texts[2 * k].split()
+        still = set(left[2 * k + 1])
+        gone = [w not in still for w in passage]
+        edge = substring_dedup.SPAN - 1
+        assert all(gone[edge : 51 - edge])
+        assert len(left[2 * k + 1]) == len(texts[2 * k + 1].split()) - sum(gone)  # nothing else goes
+
+
+def test_a_passage_repeated_in_a_text_stays_once(spark):
+    words = [f"w{i}" for i in range(60)]
+    left = rest_of(spark, [" ".join([*words, "between", *words]), "the cat sat on the mat " * 50])
+    assert left[0][:61] == [*words, "between"] and len(left[0]) <= 61 + 2 * (substring_dedup.SPAN - 1)
+    assert left[1][:25] == ("the cat sat on the mat " * 5).split()[:25] and len(left[1]) < 60
+
+
 def jaccard(a, b):
     x, y = (collections.Counter(w for w in re.split("[ \t-\r]+", t) if w) for t in (a, b))
     keys = set(x) | set(y)
