@@ -268,6 +268,20 @@ def test_a_passage_repeated_in_a_text_stays_once(spark):
     assert left[1][:25] == ("the cat sat on the mat " * 5).split()[:25] and len(left[1]) < 60
 
 
+def test_case_makes_no_other_passage_or_line(spark):
+    rnd = random.Random(4)
+    fill = lambda n: " ".join(rnd.choice("ABcdef") + "".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    lines, passages = [fill(12) for _ in range(12)], [fill(60) for _ in range(6)]
+    changes = [str.lower, str.upper, str.title]
+    texts = ["\n".join(lines), *passages]
+    texts += [f"own{k}{change.__name__}\n{change(line)}\nend{k}{change.__name__}" for k, line in enumerate(lines) for change in changes]
+    begin = len(texts)
+    texts += [f"own{k}{change.__name__} {change(p)} end{k}{change.__name__}" for k, p in enumerate(passages) for change in changes]
+    left = rest_of(spark, texts)
+    assert all(len(left[k]) == 2 for k in range(1 + len(passages), begin))
+    assert all(len(left[k]) <= 2 + 2 * (substring_dedup.SPAN - 1) for k in range(begin, len(texts)))
+
+
 def jaccard(a, b):
     x, y = (collections.Counter(w for w in re.split("[ \t-\r]+", t) if w) for t in (a, b))
     keys = set(x) | set(y)
