@@ -5,8 +5,13 @@ a-z and 0-9 becomes a space; its set holds the distinct pairs of neighbouring wo
 ``2 * common >= threshold * (size of unit + size of template)``. As common is at most the smaller size, only units whose
 size lies within the template's bounds can match: others are pruned before any set is made.
 
-Cases: a null or empty text, or one with no matching unit, has no licence: null name, score 0, n_matches 0. Equal scores
-take the template whose name sorts first. Lines and texts of any length are read whole. Repeated rows give repeated
+A notice may also stand inside a line or be wrapped over several. So each template is compared to windows of the whole
+text's words too, whatever lines they lie in: to all that begin and end with a pair of the template (others score no
+better for it) and have at most ``(2 - threshold) / threshold`` times its pairs. A match needs ``threshold / (2 - threshold)``
+of the template's pairs, so texts that have fewer are left out before any window is made.
+
+Cases: a null or empty text, or one with no match, has no licence: null name, score 0, no matches. Equal scores take the
+template with most pairs (a long notice may hold a short one), then the one whose name sorts first. Lines and texts of any length are read whole. Repeated rows give repeated
 results. Extra columns pass through; output columns that clash get a numbered name. An empty table gives an empty table.
 """
 
@@ -14,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,44 +48,74 @@ TEMPLATES = {
 }
 
 
-def bigrams(text: str) -> list[str]:
+def neighbours(text: str) -> list[str]:
     words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
-    return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
+    return [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+
+
+def bigrams(text: str) -> list[str]:
+    return sorted(set(neighbours(text)))
 
 
 def scan(df: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """Adds ``license`` (best template or null), ``license_score`` and ``license_matches`` (units that match some template)."""
+    """Adds ``license`` (best template or null), ``license_score`` and ``license_matches`` (units that match some template; where only windows do, the templates these match)."""
     sets = sorted((name, bigrams(text)) for name, text in (TEMPLATES if templates is None else templates).items())
     sets = [(name, grams) for name, grams in sets if grams]
+    longest = {name: len(neighbours(text)) for name, text in (TEMPLATES if templates is None else templates).items()}
+    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     best, score, count = fresh(df, "license"), fresh(df, "license_score"), fresh(df, "license_matches")
     if not sets:
         return df.withColumns({best: F.lit(None).cast("string"), score: F.lit(0.0), count: F.lit(0)})
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(text, "\n")
-    units = F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines)
 
-    def pairs(words: Column) -> Column:
-        return F.array_distinct(F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1))))
+    def neighbouring(words: Column) -> Column:
+        return F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
+
+    def normal(u: Column) -> Column:
+        return F.split(F.trim(F.regexp_replace(F.lower(u), "[^a-z0-9]+", " ")), " ")
+
+    def ranked(k: int, value: Column) -> Column:
+        return F.struct(value.alias("score"), F.lit(len(sets[k][1])).alias("pairs"), F.lit(-k).alias("order"))
 
     def dice(grams: Column) -> Column:
-        """Best (score, template) of one set; templates whose size bounds exclude it are not compared."""
+        """(score, pairs, order) of one set for each template; templates whose size bounds exclude it are not compared."""
         size = F.size(grams)
-        low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-        return F.array_max(F.array(*[
-            F.struct(
-                F.when(size.between(math.ceil(low * len(g) - 1e-9), math.floor(high * len(g) + 1e-9)), F.lit(2.0) * F.size(F.array_intersect(grams, F.lit(g))) / (size + len(g))).otherwise(F.lit(0.0)).alias("score"),
-                F.lit(-k).alias("order"),
-            )
+        return F.array(*[
+            ranked(k, F.when(size.between(math.ceil(low * len(g) - 1e-9), math.floor(high * len(g) + 1e-9)), F.lit(2.0) * F.size(F.array_intersect(grams, F.lit(g))) / (size + len(g))).otherwise(F.lit(0.0)))
             for k, (_, g) in enumerate(sets)
-        ]))
+        ])
+
+    def let(value: Column, then: Callable[[Column], Column]) -> Column:
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def windows(row: Column, hits: Column, held: Column, k: int) -> Column:
+        """Best score of template ``k`` in the windows of a text. row: its pairs; hits: (place, pair) of those of any template; held: their set."""
+        name, g = sets[k]
+        need, most = math.ceil(low * len(g) - 1e-9), math.floor(high * longest[name] + 1e-9)
+
+        def from_start(s: Column, own: Column) -> Column:
+            ends = F.filter(own, lambda e: e["i"].between(s["i"], s["i"] + most - 1))
+            score = lambda e, j, near: F.lit(2.0) * F.size(F.array_distinct(F.slice(near["p"], 1, j + 1))) / (F.size(F.array_distinct(F.slice(row, s["i"] + 1, e["i"] - s["i"] + 1))) + len(g))
+            return let(ends, lambda near: F.when(F.size(near) >= need, F.array_max(F.transform(near, lambda e, j: score(e, j, near)))).otherwise(F.lit(0.0)))
+
+        own = F.filter(hits, lambda h: h["p"].isin(g))
+        best = let(own, lambda own: F.array_max(F.transform(own, lambda s: from_start(s, own))))
+        return ranked(k, F.when(F.size(F.array_intersect(held, F.lit(g))) >= need, best).otherwise(F.lit(0.0)))
 
-    words = F.transform(units, lambda u: F.split(F.trim(F.regexp_replace(F.lower(u), "[^a-z0-9]+", " ")), " "))
-    found = F.filter(F.transform(F.transform(words, pairs), dice), lambda x: x["score"] >= threshold)
-    at = fresh(df, "license_found")
-    out = df.withColumn(at, found)
-    top = F.array_max(F.col(at))
+    row, hits, held, inside, at = (fresh(df, f"license_{x}") for x in ("row", "hits", "held", "inside", "found"))
+    every = sorted({x for _, g in sets for x in g})
+    out = df.withColumn(row, let(normal(text), neighbouring))
+    out = out.withColumn(hits, F.filter(F.transform(F.col(row), lambda p, i: F.when(p.isin(every), F.struct(i.alias("i"), p.alias("p")))), lambda x: x.isNotNull()))
+    out = out.withColumn(held, F.array_distinct(F.col(hits)["p"]))
+    out = out.withColumn(inside, F.filter(F.array(*[windows(F.col(row), F.col(hits), F.col(held), k) for k in range(len(sets))]), lambda x: x["score"] >= threshold))
+    grams = F.transform(F.transform(lines, normal), lambda words: F.array_distinct(neighbouring(words)))
+    grams = F.when(F.size(lines) > 1, F.concat(grams, F.array(F.array_distinct(F.col(row))))).otherwise(grams)
+    matched = F.filter(F.transform(grams, dice), lambda u: F.exists(u, lambda x: x["score"] >= threshold))
+    out = out.withColumn(at, matched)
+    top = F.array_max(F.concat(F.flatten(F.col(at)), F.col(inside)))
     return out.withColumns({
         best: F.get(F.lit([name for name, _ in sets]), -top["order"]),
         score: F.coalesce(top["score"], F.lit(0.0)),
-        count: F.size(F.col(at)),
-    }).drop(at)
+        count: F.when(F.size(F.col(at)) > 0, F.size(F.col(at))).otherwise(F.size(F.col(inside))),
+    }).drop(row, hits, held, inside, at)

@@ -3,6 +3,7 @@ import hashlib
 import os
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -191,6 +192,21 @@ def test_license_scan_is_brute_force(spark):
         assert got[i].license_score == pytest.approx(max((s for s, _ in scores), default=0.0))
 
 
+def test_license_notices_are_found_wrapped_and_inside_lines(spark):
+    rnd = random.Random(6)
+    fill = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    texts, names = [], []
+    for name, notice in license_scan.TEMPLATES.items():
+        texts += [textwrap.fill(notice, 72) + "\n\n" + fill(600), f"{fill(9)}. {notice} {fill(9)}.", fill(200) + "\n// " + textwrap.fill(notice, 40, break_long_words=False).replace("\n", "\n// ") + "\n" + fill(200)]
+        names += [name] * 3
+    texts += [fill(30) + " Copyright (c) 2024 Example Inc. All rights reserved. " + fill(30), "All of it is free. The rights of the reader are reserved. " * 9]
+    names += ["all-rights-reserved", None]
+    got = {r.doc_id: r for r in license_scan.scan(table(spark, texts)).collect()}
+    for i, name in enumerate(names):
+        assert got[i].license == name
+        assert (got[i].license_score == 1.0 and got[i].license_matches > 0) if name else got[i].license_matches == 0
+
+
 def test_quality_counts_are_brute_force(spark):
     texts = made() + ["# a b c\n# a b c\n\n x a b c a b", "A!! B!! " * 40, "w### " * 80]
     got = {r.doc_id: r for r in quality_rules.judge(table(spark, texts)).collect()}
