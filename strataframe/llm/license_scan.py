@@ -10,7 +10,9 @@ text's words too, whatever lines they lie in: to all that begin and end with a p
 better for it) and have at most ``(2 - threshold) / threshold`` times its pairs. A match needs ``threshold / (2 - threshold)``
 of the template's pairs, so texts that have fewer are left out before any window is made.
 
-Cases: a null or empty text, or one with no match, has no licence: null name, score 0, no matches. Equal scores take the
+All templates that match are given with their best scores, best first, beside the best one.
+
+Cases: a null or empty text, or one with no match, has no licence: null name, score 0, no matches, empty list. Equal scores take the
 template with most pairs (a long notice may hold a short one), then the one whose name sorts first. Lines and texts of any length are read whole. Repeated rows give repeated
 results. Extra columns pass through; output columns that clash get a numbered name. An empty table gives an empty table.
 """
@@ -58,14 +60,14 @@ def bigrams(text: str) -> list[str]:
 
 
 def scan(df: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """Adds ``license`` (best template or null), ``license_score`` and ``license_matches`` (units that match some template; where only windows do, the templates these match)."""
+    """Adds ``license`` (best template or null), ``license_score`` and ``license_matches`` (units that match some template; where only windows do, the templates these match), ``license_all`` (array of (license, score): every template that matches, best first)."""
     sets = sorted((name, bigrams(text)) for name, text in (TEMPLATES if templates is None else templates).items())
     sets = [(name, grams) for name, grams in sets if grams]
     longest = {name: len(neighbours(text)) for name, text in (TEMPLATES if templates is None else templates).items()}
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    best, score, count = fresh(df, "license"), fresh(df, "license_score"), fresh(df, "license_matches")
+    best, score, count, every_one = fresh(df, "license"), fresh(df, "license_score"), fresh(df, "license_matches"), fresh(df, "license_all")
     if not sets:
-        return df.withColumns({best: F.lit(None).cast("string"), score: F.lit(0.0), count: F.lit(0)})
+        return df.withColumns({best: F.lit(None).cast("string"), score: F.lit(0.0), count: F.lit(0), every_one: F.array().cast("array<struct<license:string,score:double>>")})
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(text, "\n")
 
@@ -103,7 +105,7 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, threshold: floa
         best = let(own, lambda own: F.array_max(F.transform(own, lambda s: from_start(s, own))))
         return ranked(k, F.when(F.size(F.array_intersect(held, F.lit(g))) >= need, best).otherwise(F.lit(0.0)))
 
-    row, hits, held, inside, at = (fresh(df, f"license_{x}") for x in ("row", "hits", "held", "inside", "found"))
+    row, hits, held, inside, at, scores = (fresh(df, f"license_{x}") for x in ("row", "hits", "held", "inside", "found", "scores"))
     every = sorted({x for _, g in sets for x in g})
     out = df.withColumn(row, let(normal(text), neighbouring))
     out = out.withColumn(hits, F.filter(F.transform(F.col(row), lambda p, i: F.when(p.isin(every), F.struct(i.alias("i"), p.alias("p")))), lambda x: x.isNotNull()))
@@ -113,9 +115,13 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, threshold: floa
     grams = F.when(F.size(lines) > 1, F.concat(grams, F.array(F.array_distinct(F.col(row))))).otherwise(grams)
     matched = F.filter(F.transform(grams, dice), lambda u: F.exists(u, lambda x: x["score"] >= threshold))
     out = out.withColumn(at, matched)
-    top = F.array_max(F.concat(F.flatten(F.col(at)), F.col(inside)))
+    out = out.withColumn(scores, F.filter(F.concat(F.flatten(F.col(at)), F.col(inside)), lambda x: x["score"] >= threshold))
+    top = F.array_max(F.col(scores))
+    names = F.lit([name for name, _ in sets])
+    each = F.transform(F.array_distinct(F.col(scores)["order"]), lambda o: F.struct((-F.array_max(F.filter(F.col(scores), lambda x: x["order"] == o)["score"])).alias("less"), F.get(names, -o).alias("license")))
     return out.withColumns({
-        best: F.get(F.lit([name for name, _ in sets]), -top["order"]),
+        best: F.get(names, -top["order"]),
         score: F.coalesce(top["score"], F.lit(0.0)),
         count: F.when(F.size(F.col(at)) > 0, F.size(F.col(at))).otherwise(F.size(F.col(inside))),
-    }).drop(row, hits, held, inside, at)
+        every_one: F.transform(F.array_sort(each), lambda x: F.struct(x["license"].alias("license"), (-x["less"]).alias("score"))),
+    }).drop(row, hits, held, inside, at, scores)

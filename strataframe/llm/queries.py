@@ -50,7 +50,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = license_scan.scan(documents)
-    return found.select("doc_id", "license", F.round("license_score", 6).alias("license_score"), F.col("license_matches").cast("long").alias("license_matches"))
+    return found.select("doc_id", "license", F.round("license_score", 6).alias("license_score"), F.col("license_matches").cast("long").alias("license_matches"), F.transform("license_all", lambda x: F.struct(x["license"].alias("license"), F.round(x["score"], 6).alias("score"))).alias("license_all"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,6 +207,16 @@ def test_license_notices_are_found_wrapped_and_inside_lines(spark):
         assert (got[i].license_score == 1.0 and got[i].license_matches > 0) if name else got[i].license_matches == 0
 
 
+def test_all_licenses_of_a_text_are_given(spark):
+    t = license_scan.TEMPLATES
+    texts = [f"a b c\n{t['mit']}\nd e f {t['cc-by-4.0']} g h\nReleased under the great MIT License.\n" + "i j k " * 20, t["apache-2.0-header"], "none", None]
+    got = {r.doc_id: r for r in license_scan.scan(table(spark, texts)).collect()}
+    assert [tuple(x) for x in got[0].license_all] == [("cc-by-4.0", 1.0), ("mit", 1.0)] and got[0].license == "cc-by-4.0"
+    assert [tuple(x) for x in got[1].license_all] == [("apache-2.0", 1.0), ("apache-2.0-header", 1.0)] and got[1].license == "apache-2.0-header"
+    assert got[2].license_all == got[3].license_all == []
+    assert license_scan.scan(table(spark, texts), {}).collect()[0].license_all == []
+
+
 def test_quality_counts_are_brute_force(spark):
     texts = made() + ["# a b c\n# a b c\n\n x a b c a b", "A!! B!! " * 40, "w### " * 80]
     got = {r.doc_id: r for r in quality_rules.judge(table(spark, texts)).collect()}
