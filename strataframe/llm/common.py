@@ -38,12 +38,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Computes ``df`` once and goes on from files in the shared folder, so that lost executors cost no recomputation of what lies before.
 
-    Shuffle files of tables that were cut before and that nothing refers to any more are let go first.
+    Shuffle files of tables that were cut before and that nothing refers to any more are let go first. The size that was
+    estimated for ``df`` is dropped: each join multiplies estimates, which in loops become numbers of millions of digits.
     """
     shared_dir(df.sparkSession)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()  # Spark removes shuffle files when their plan is collected
-    return df.checkpoint(eager=True)
+    held = df.checkpoint(eager=True)._jdf
+    session = df.sparkSession
+    return DataFrame(session._jsparkSession.internalCreateDataFrame(held.queryExecution().toRdd(), held.schema(), False), session)
 
 
 def text_or_empty(name: str = "text") -> Column:

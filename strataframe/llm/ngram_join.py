@@ -1,26 +1,30 @@
 """N-gram Jaccard self-join by T-occurrence search.
 
-A document's set has its distinct word shingles. Two documents link when ``100 * common >= percent * union``; for sets of
-n and m that means at least T common members. Of a document's inverted lists the T - 1 longest are *long*, the others
-*short* (DivideSkip): any partner is in at least one short list, as at most T - 1 lists remain. So only short lists are
-merged, and the long ones are probed, by binary search of their members in the partner's sorted set.
-
-Distributed, a list is the run of rows of one shingle after a shuffle, and the heap merge is the sorter's merge of runs.
-List lengths come from a table of counters of fixed size filled from all documents (a shingle's counter bounds how many
-documents have it); it fixes the one order of shingles by which all documents divide their lists.
-
-Groups of copies. Equal sets are one class and only its first document takes part. In a list of more than ``DIRECT``
-documents not all pairs are formed: one document (the one whose shingles are most common, so the likely original) is
-compared to all others. Let D(x) be what x differs by from that centre. Two documents x, y of the list that link differ
-by at most (|x| + |y|) * (100 - percent) / (100 + percent), and D(x), D(y) then share a number of members that is above 0
-unless both link to the centre anyway. That is again a T-occurrence problem, with D for the sets and the centre's
-document group for the corpus: its short lists form the next round. Rounds end when no list has two documents. Thus no
-link between different components is lost and no group is expanded into all its pairs.
-
-Cases: null and empty texts have no set and link to nothing; they are their own component, with 0 shingles. Texts of any
-length are read whole. A null identifier ranks before all others and is given back as null. Rows of one
-identifier with different texts are documents of their own; repeated rows are returned as often as they come.
-Extra columns are ignored. An empty table gives an empty table.
+A document's set has its distinct word shingles. Two documents link when ``100 * common >= percent * union``; so a set of
+n shares at least T(n) = percent of n members with any set to which it links, and a document's partners are those that
+occur T times or more among its inverted lists (a list: the documents that have one shingle).
+
+DivideSkip sets the T - 1 longest of a document's lists aside as long ones; a partner is in at least one of the others,
+the short ones. Three steps apply it, each exact:
+
+1. Of each set only the first members in the order of their hashes are dealt out by shingle: so many that a partner has
+   at least ``SHARE`` percent of n of them too. Documents with fewer lists that anyone else is in have no partner and go.
+2. Those left deal out whole sets. With the true length of each list a document needs T lists with another document in
+   them; of these it keeps all but the T - 1 longest. Documents that share a kept list are joined to groups.
+3. A group's sets meet in one task, where each document searches the inverted lists of those not reached yet: short lists
+   are merged by a heap, what is found is probed in the long ones by binary search, and whoever reaches T is looked at
+   with its own size (``divide_skip``). Only the links along which documents are reached are kept, not all pairs.
+
+Groups of more than ``BLOCK`` documents are not brought to one task. One of them, the hub, searches the lists of all
+others, which are dealt to as many places as needed. What x differs by from the hub is D(x). Of two documents that link
+and don't both link to the hub, D(x) and D(y) share a number of members that follows from the sizes and is above 0: a
+T-occurrence problem again, with D for the sets, to which steps 2 and 3 apply. Lists whose documents links have connected
+already are left out. So a group of near copies costs each of its documents one comparison and a few rows for each round.
+
+Cases: null and empty texts have no set and link to nothing; they are their own component, with 0 shingles. Equal sets
+are one class and only its first document takes part. Texts of any length are read whole. A null identifier ranks before
+all others. Rows of one identifier with different texts are documents of their own; repeated rows are returned as often
+as they come. Extra columns are ignored. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,23 +36,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, fresh
 from .shingles import WIDTH, WordHashes, mix, shingle_set
 
 PERCENT = 80
-#: The table of counters has 2**COUNTER_BITS of them, in blocks of 2**BLOCK_BITS.
-COUNTER_BITS, BLOCK_BITS = 22, 16
-#: Lists of at most so many documents give all their pairs; twice as many with each round.
-DIRECT = 4
+#: Of the first members of a set, partners have so many percent of its size in common.
+SHARE = 10
+#: Groups of at most so many documents, and so many members in all sets together, are searched in one task.
+BLOCK, BLOCK_MEMBERS = 512, 1 << 21
+#: About so many documents are searched by a hub in one task.
+TOGETHER = 64
+#: The table of counters that finds lists too long for one task has 2**COUNTER_BITS of them, in blocks of 2**BLOCK_BITS.
+COUNTER_BITS, BLOCK_BITS = 20, 16
+#: Lists of more than so many rows, and more than one in so many of all rows, are counted by partial aggregation.
+HOT, HOT_PART = 4096, 1000
 #: Broadcasts of identifiers up to so many; beyond, a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Shingles that at least one document in so many has are dealt by their centre, not by a shuffle on the shingle.
-HOT = 400
-_NULL_ID = 1 - (1 << 63)
 
 
 def least_common(n: int, percent: int = PERCENT) -> int:
@@ -60,8 +68,19 @@ def links(n: int, m: int, common: int, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (n + m - common)
 
 
+def first_members(n: int, percent: int = PERCENT) -> tuple[int, int]:
+    """How many first members of a set of ``n`` are dealt out, and how many of these any partner has in its own.
+
+    Of the common members at most T - s lie beyond the first n - T + s, so s of them lie within; a partner's share s is
+    that of its own size, which is at least ``percent`` of n.
+    """
+    share = lambda size: max(1, -(-SHARE * size // 100))
+    t = least_common(n, percent)
+    return min(n, n - t + share(n)), min(share(t), n)
+
+
 def divide_skip(lists: list[list[int]], t: int, long_lists: int) -> dict[int, int]:
-    """Members of at least ``t`` of the sorted lists, with how many: the form for one block of documents in memory.
+    """Members of at least ``t`` of the sorted lists, with how many.
 
     The ``long_lists`` longest are set aside; the short ones are merged by a heap, and what is in at least
     ``t - long_lists`` of them is looked up in the long ones by binary search until it can't reach ``t`` any more.
@@ -93,23 +112,120 @@ def divide_skip(lists: list[list[int]], t: int, long_lists: int) -> dict[int, in
     return found
 
 
-# ---- sets and counters
+# ---- one task
+
+
+def inverted(sets: list[np.ndarray]) -> tuple[list[list[int]], list[list[int]]]:
+    """Lists of the members that two sets or more have, and for each set the numbers of its lists."""
+    members = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(members, kind="stable")
+    members, owner = members[order], owner[order]
+    edges = np.flatnonzero(np.diff(members, prepend=members[:1] ^ np.uint64(1), append=members[-1:] ^ np.uint64(1)))
+    begin, size = edges[:-1], np.diff(edges)
+    lists, of = [], [[] for _ in sets]
+    for a, n in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+        one = owner[a : a + n].tolist()
+        for d in one:
+            of[d].append(len(lists))
+        lists.append(one)
+    return lists, of
+
+
+def search_group(ids: list[int], sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that connect what all links among the documents connect: each document searches those not reached yet."""
+    lists, of = inverted(sets)
+    left = [True] * len(ids)
+    remaining = held = len(ids)
+    found, queue = [], []
+    for start in range(len(ids)):
+        if left[start]:
+            queue, left[start], remaining = [start], False, remaining - 1
+        while queue and remaining:
+            if 2 * remaining <= held:  # the lists are freed of those reached; each time they halve
+                lists, held = [[d for d in x if left[d]] for x in lists], remaining
+            q = queue.pop()
+            t = least_common(len(sets[q]), percent)
+            own = [x for x in map(lists.__getitem__, of[q]) if x]
+            if len(own) < t:
+                continue
+            for d, common in divide_skip(own, t, t - 1).items():
+                if left[d] and links(len(sets[q]), len(sets[d]), common, percent):
+                    left[d], remaining = False, remaining - 1
+                    found.append((ids[q], ids[d]))
+                    queue.append(d)
+    return found
+
+
+def search_hub(hub: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[bool]:
+    """Whether each set links to the hub's."""
+    t = least_common(len(hub), percent)
+    lists: list[list[int]] = [[] for _ in range(len(hub))]
+    for d, s in enumerate(sets):
+        at = np.minimum(np.searchsorted(hub, s), len(hub) - 1)
+        for k in at[hub[at] == s].tolist():
+            lists[k].append(d)
+    common = divide_skip([x for x in lists if x], t, t - 1)
+    return [links(len(hub), len(s), common.get(d, 0), percent) for d, s in enumerate(sets)]
 
 
-def _sets(batch: pa.RecordBatch, memo: WordHashes, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        yield key, shingle_set(text.as_py(), memo, width)
+def needed(size: int, c: int, m: int, link: bool, percent: int = PERCENT) -> int:
+    """Fewest members that D of a set of ``m`` (``size`` of them, against a hub of ``c``) shares with the D of a partner, unless both link to the hub."""
+    free = (100 - percent) / (100 + percent)
+    most = 100 * m / percent
+    far = (size + (c - m) * free) / 2  # a partner that doesn't link to the hub
+    other = size - (m + most) * free  # any partner
+    near = size - (m + min(most, 100 * c / percent)) * free  # one that links to the hub
+    return max(1, int(np.ceil((max(far, other) if link else min(max(far, other), near)) - 1e-9)))
 
 
-def _counters(docs: DataFrame, width: int, bits: int, block: int) -> np.ndarray:
-    """For each counter the number of (document, shingle) pairs that fall to it. Its size does not depend on the input."""
+# ---- rows
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, table = WordHashes(), np.zeros(1 << bits, np.uint32)
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    flat = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def _info(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """id, n, digest of the set, and the first members with how many of them a partner has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordHashes()
         for whole in batches:
-            for k in range(0, whole.num_rows, 2000):
-                held = [s for _, s in _sets(whole.slice(k, 2000), memo, width)]
-                table += np.bincount((np.concatenate(held) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+            for k in range(0, whole.num_rows, 1000):
+                batch = whole.slice(k, 1000)
+                sets = [shingle_set(t.as_py(), memo, width) for t in batch.column(1)]
+                size = [first_members(len(s), percent) if len(s) else (0, 0) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([x for _, x in size], pa.int64()), _lists([s[:p] for s, (p, _) in zip(sets, size, strict=True)])],
+                    names=["id", "n", "digest", "need", "keys"],
+                )
+
+    return docs.mapInArrow(run, "id long, n long, digest binary, need long, keys array<long>")
+
+
+def _whole_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordHashes()
+        for whole in batches:
+            for k in range(0, whole.num_rows, 500):
+                batch = whole.slice(k, 500)
+                sets = [shingle_set(t.as_py(), memo, width) for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([least_common(len(s), percent) for s in sets], pa.int64()), _lists(sets)], names=["id", "n", "need", "keys"])
+
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, need long, keys array<long>")
+
+
+def _counters(held: DataFrame, bits: int, block: int) -> np.ndarray:
+    """For each counter the number of rows (document, key) that fall to it. Its size does not depend on the input."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            keys = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            table += np.bincount((mix(keys) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
         for k, part in enumerate(table.reshape(-1, 1 << block)):
             if part.any():
                 yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "counts": pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())})
@@ -123,236 +239,238 @@ def _counters(docs: DataFrame, width: int, bits: int, block: int) -> np.ndarray:
         for k, part in sums.items():
             yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "counts": pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())})
 
-    blocks = docs.mapInArrow(fill, "block int, counts binary").repartition(1 << (bits - block), "block").mapInArrow(add, "block int, counts binary")
+    blocks = held.select("keys").mapInArrow(fill, "block int, counts binary").repartition(1 << (bits - block), "block").mapInArrow(add, "block int, counts binary")
     total = np.zeros((1 << (bits - block), 1 << block), np.uint64)
     for row in blocks.toLocalIterator():  # 2**(bits - block) rows
         total[row["block"]] += np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
     return np.minimum(total, (1 << 32) - 1).astype(np.uint32).reshape(-1)
 
 
-def _rank(shingles: np.ndarray, counters: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles from rare to common (ties by hash), and the counters in that order."""
-    n = counters[(shingles >> np.uint64(64 - bits)).astype(np.int64)]
-    order = np.lexsort((shingles, n))
-    return shingles[order], n[order]
-
-
-def _standing(counts: np.ndarray) -> int:
-    """Rank of a document: how common its shingles are, and below it how many they are."""
-    return (int(float(np.log2(counts).mean()) * (1 << 20)) << 32 | len(counts)) if len(counts) else 0
-
+def _live(held: DataFrame, labelled: bool, hot: int, bits: int = COUNTER_BITS) -> DataFrame:
+    """(id, key, size) of the rows in lists with two documents or more, ``labelled``: with two labels or more.
 
-def _info(docs: DataFrame, counters, width: int, bits: int, percent: int, limit: int) -> DataFrame:
-    """id, n, digest of the set, rank (commonness of its shingles above, n below) and short lists of each document.
-
-    hot: those of the short lists that more than ``limit`` documents may be in.
+    A list that may be long by the counters (a key's counter is at least the length of its list) is counted by partial
+    aggregation and its rows are joined to the count; the others are counted where their rows meet.
     """
+    table = _counters(held, bits, min(BLOCK_BITS, bits))
+    limit = max(hot, int(table.sum()) // HOT_PART)
+    flags = held.sparkSession.sparkContext.broadcast(np.packbits(table > limit))
+    label = ["label"] if labelled else []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, table = WordHashes(), counters.value
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        long = np.unpackbits(flags.value).astype(bool)
         for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                ids, sizes, digest, rank, short, hot = [], [], [], [], [], []
-                for key, s in _sets(whole.slice(k, 1000), memo, width):
-                    ids.append(key)
-                    sizes.append(len(s))
-                    digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    ranked, n = _rank(s, table, bits)
-                    p = len(s) - least_common(len(s), percent) + 1 if len(s) else 0
-                    cool = int(np.searchsorted(n[:p], limit, "right"))
-                    rank.append(_standing(n))
-                    short.append(ranked[:cool].view(np.int64))
-                    hot.append(ranked[cool:p].view(np.int64))
-                lists = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digest, pa.binary()), pa.array(rank, pa.int64()), pa.array(short, lists), pa.array(hot, lists)],
-                    names=["id", "n", "digest", "rank", "short", "hot"],
-                )
-
-    return docs.mapInArrow(run, "id long, n long, digest binary, rank long, short array<long>, hot array<long>")
-
-
-# ---- rounds
-
-
-def _split(lists: DataFrame, direct: int) -> tuple[DataFrame, DataFrame]:
-    """Lists (key, id, rank, ...) of two to ``direct`` documents, and longer ones, with the centre of each."""
+            for k in range(0, whole.num_rows, 500):
+                batch = whole.slice(k, 500)
+                keys = batch.column(batch.num_columns - 1)
+                flat = keys.flatten()
+                of = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False))
+                many = long[(mix(flat.to_numpy(zero_copy_only=False).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(of)) for i in range(batch.num_columns - 1)), flat, pa.array(many)], names=["id", *label, "key", "many"])
+
+    rows = held.select("id", *label, "keys").mapInArrow(deal, f"id long, {'label long, ' if labelled else ''}key long, many boolean")
     at = Window.partitionBy("key")
-    best = at.orderBy(F.desc("rank"), "id").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = lists.withColumn("size", F.count("*").over(at)).where("size > 1").withColumn("centre", F.first("id").over(best))
-    return ranked.where(F.col("size") <= direct), ranked.where(F.col("size") > direct)
+    mixed = F.min("label") < F.max("label") if labelled else F.count("*") > 1
+    few = rows.where("not many").withColumn("size", F.count("*").over(at))
+    few = few.where("size > 1") if not labelled else few.withColumn("low", F.min("label").over(at)).withColumn("high", F.max("label").over(at)).where("low < high")
+    few = few.select("id", "key", "size")
+    if not bool((table > limit).any()):
+        return few
+    sizes = rows.where("many").groupBy("key").agg(F.count("*").alias("size"), mixed.alias("mixed")).where("mixed").drop("mixed")
+    return few.unionByName(rows.where("many").join(sizes.hint("shuffle_merge"), "key").select("id", "key", "size"))
 
 
-def _short_lists(x: np.ndarray, y: np.ndarray, centre: int, link: bool, table: np.ndarray, bits: int, percent: int) -> tuple[int, np.ndarray]:
-    """Short lists of a document y in the group of the centre x, rare members first, as keys.
+def _short(held: DataFrame, live: DataFrame) -> DataFrame:
+    """(id, n, weight, key): the live lists but the need - 1 longest of the documents that have ``need`` of them.
 
-    The first so many are for partners that don't link to the centre; the rest are for partners that do, which only a
-    document that doesn't itself needs.
+    Two documents that link share ``need`` live lists; the shortest of these is kept by both. weight: how long a
+    document's lists are for its size.
     """
-    d = np.setxor1d(x, y, assume_unique=True)
-    size, c, m = len(d), len(x), len(y)
-    if not size:
-        return 0, d.view(np.int64)
-    free = (100 - percent) / (100 + percent)
-    most = 100 * m / percent
-    # members that D(y) shares at least with the D of a partner that links: to a partner that doesn't link to the
-    # centre, of any partner, of one that links to the centre
-    far = (size + (c - m) * free) / 2
-    other = size - (m + most) * free
-    near = size - (m + min(most, 100 * c / percent)) * free
-    length = lambda need: min(size, size - max(1, int(np.ceil(need - 1e-9))) + 1)
-    first = length(far if link else max(far, other))
-    last = first if link else max(first, length(near))
-    ranked, _ = _rank(d, table, bits)
-    salt = np.uint64(xxhash.xxh3_64_intdigest(centre.to_bytes(8, "little", signed=True)))
-    return first, mix(ranked[:last] ^ salt).view(np.int64)
+    one = live.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("m"), F.sum("size").alias("sum"))  # as many as the set has members
+    enough = one.join(held.select("id", "n", "need"), "id").where(F.size("m") >= F.col("need"))
+    kept = F.slice("m", F.lit(1), (F.size("m") - F.col("need") + 1).cast("int"))
+    return enough.select("id", "n", (F.col("sum") / F.col("need")).alias("weight"), F.explode(F.transform(kept, lambda x: x["key"])).alias("key"))
 
 
-#: So many comparisons with one centre go to one task.
-_TOGETHER = 64
+def _only(df: DataFrame, ids: DataFrame, broadcast_ids: int, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose id is (or is not) among ``ids``, which are broadcast if they are few."""
+    few = ids.count() <= broadcast_ids
+    return df.join(F.broadcast(ids) if few else ids.hint("shuffle_merge"), "id", how)
 
 
-def _compare(docs: DataFrame, pairs: DataFrame, counters, width: int, bits: int, percent: int, broadcast_ids: int) -> DataFrame:
-    """For pairs (a, b, star): whether they link, and for star pairs b's short lists within the group of a.
+_SENT = "g long, place int, kind int, id long, set binary"
+_TOLD = "a long, b long, link boolean, n long, need long, keys array<long>"
 
-    Each document of a pair makes its set once and sends it to where its partners a are; a centre with many partners
-    sends its own set to several places, among which they are dealt.
-    """
-    places = F.ceil(F.count("*") / _TOGETHER).cast("int")
-    centres = pairs.groupBy("a").agg(places.alias("places"))
-    seat = F.pmod(F.xxhash64("b"), F.col("places").cast("long")).cast("int")
-    partners = pairs.join(centres, "a").groupBy(F.col("b").alias("id")).agg(F.collect_list(F.struct("a", seat.alias("place"), "star")).alias("partners"))
-    wanted = cut(partners.join(centres.withColumnRenamed("a", "id"), "id", "full"))
-    sent = pa.schema([("a", pa.int64()), ("place", pa.int32()), ("kind", pa.int32()), ("b", pa.int64()), ("star", pa.bool_()), ("rank", pa.int64()), ("set", pa.binary())])
+
+def _search(docs: DataFrame, wanted: DataFrame, width: int, percent: int, broadcast_ids: int) -> DataFrame:
+    """wanted: id, g (group), place, places (above 0 for a hub). Links found in groups; for documents of a hub's group also its D."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, table = WordHashes(), counters.value
+        memo = WordHashes()
         for whole in batches:
-            for k in range(0, whole.num_rows, 500):
+            for k in range(0, whole.num_rows, 200):
                 rows = []
-                for x in whole.slice(k, 500).to_pylist():
-                    s = shingle_set(x["text"], memo, width)
-                    raw, rank = s.tobytes(), _standing(_rank(s, table, bits)[1])
-                    rows += [(x["id"], i, 0, x["id"], False, rank, raw) for i in range(x["places"] or 0)]
-                    rows += [(p["a"], p["place"], 1, x["id"], p["star"], rank, raw) for p in x["partners"] or ()]
-                    if len(rows) > 1000:
-                        yield _batch(rows, sent)
-                        rows = []
+                for x in whole.slice(k, 200).to_pylist():
+                    raw = shingle_set(x["text"], memo, width).tobytes()
+                    if not x["places"]:
+                        rows.append((x["g"], x["place"], 1, x["id"], raw))
+                    for i in range(x["places"]):
+                        rows.append((x["g"], i, 0, x["id"], raw))
+                        if len(rows) >= 200:
+                            yield _batch(rows, sent)
+                            rows = []
                 if rows:
                     yield _batch(rows, sent)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, x = counters.value, None
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, kinds, ids, sets = None, [], [], []
         for batch in batches:
-            rows = []
-            for a, kind, b, star, rank, raw in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("a", "kind", "b", "star", "rank", "set")), strict=True):
-                y = np.frombuffer(raw.as_py(), np.uint64)
-                if not kind.as_py():  # sorted before its partners
-                    x = y
-                    continue
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.searchsorted(large, small)  # binary probes of all lists of the smaller set
-                link = links(len(x), len(y), int((large[np.minimum(at, len(large) - 1)] == small).sum()), percent)
-                first, own = _short_lists(x, y, a.as_py(), link, table, bits, percent) if star.as_py() else (0, [])
-                rows.append((a.as_py(), b.as_py(), rank.as_py(), link, first, own))
-            if rows:
-                yield _batch(rows, told)
-
-    told = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("rank", pa.int64()), ("link", pa.bool_()), ("first", pa.int64()), ("keys", pa.list_(pa.int64()))])
+            for g, place, kind, key, raw in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("g", "place", "kind", "id", "set")), strict=True):
+                at = (g.as_py(), place.as_py())
+                if at != group:
+                    if ids:
+                        yield from _solved(kinds, ids, sets, percent)
+                    group, kinds, ids, sets = at, [], [], []
+                kinds.append(kind.as_py())
+                ids.append(key.as_py())
+                sets.append(np.frombuffer(raw.as_py(), np.uint64))
+        if ids:
+            yield from _solved(kinds, ids, sets, percent)
+
+    sent = pa.schema([("g", pa.int64()), ("place", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("set", pa.binary())])
     few = wanted.count() <= broadcast_ids
     texts = docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_merge"), "id")
-    dealt = texts.mapInArrow(send, "a long, place int, kind int, b long, star boolean, rank long, set binary").repartition("a", "place").sortWithinPartitions("a", "place", "kind")
-    return dealt.mapInArrow(compare, "a long, b long, rank long, link boolean, first long, keys array<long>")
+    return texts.mapInArrow(send, _SENT).repartition("g", "place").sortWithinPartitions("g", "place", "kind", "id").mapInArrow(solve, _TOLD)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def _only(df: DataFrame, ids: DataFrame, broadcast_ids: int, how: str = "left_semi") -> DataFrame:
-    """Rows of ``df`` whose id is (or is not) among ``ids``, which are broadcast if they are few."""
-    few = ids.count() <= broadcast_ids
-    return df.join(F.broadcast(ids) if few else ids.hint("shuffle_merge"), "id", how)
+def _solved(kinds: list[int], ids: list[int], sets: list[np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
+    told = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("link", pa.bool_()), ("n", pa.int64()), ("need", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    if kinds[0]:
+        rows = [(a, b, True, None, None, None) for a, b in search_group(ids, sets, percent)]
+        if rows:
+            yield _batch(rows, told)
+        return
+    hub, a = sets[0], ids[0]
+    salt = np.uint64(xxhash.xxh3_64_intdigest(a.to_bytes(8, "little", signed=True)))
+    near = search_hub(hub, sets[1:], percent)
+    for k in range(0, len(near), 100):
+        rows = []
+        for b, s, link in zip(ids[1 + k : 101 + k], sets[1 + k : 101 + k], near[k : k + 100], strict=True):
+            d = np.setxor1d(hub, s, assume_unique=True)
+            need = needed(len(d), len(hub), len(s), link, percent)
+            rows.append((a, b, link, len(s), need, mix(d ^ salt).view(np.int64) if len(d) >= need else None))
+        yield _batch(rows, told)
+
 
+# ---- the whole search
 
-def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, counter_bits: int = COUNTER_BITS, direct: int = DIRECT, broadcast_ids: int = BROADCAST_IDS, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+
+def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK, broadcast_ids: int = BROADCAST_IDS, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(documents: id, n, twin) and (links: a, b): twin is the first document with the same set; links join twins.
 
-    Identifiers must differ. The links connect exactly the documents that all links connect, but need not be all of them.
+    Identifiers must differ and not be null. The links connect exactly the documents that all links connect, but need not be all of them.
     """
     spark = df.sparkSession
-    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(text_col).alias("text"))
-    limit = max(64, docs.count() // hot)
-    counters = spark.sparkContext.broadcast(_counters(docs, width, counter_bits, min(BLOCK_BITS, counter_bits)))
-    info = cut(_info(docs, counters, width, counter_bits, percent, limit))
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    info = cut(_info(docs, width, percent))
     members = info.where("n > 0").groupBy("digest").agg(F.min("id").alias("twin"), F.max("id").alias("most"))
     copies = cut(members.where("twin < most").drop("most"))
     few = copies.count() <= broadcast_ids
     nodes = info.select("id", "n", "digest").join(F.broadcast(copies) if few else copies.hint("shuffle_merge"), "digest", "left")
     nodes = cut(nodes.select("id", "n", F.coalesce("twin", "id").alias("twin")))
-    alone = _only(info.where("n > 0").select("id", "rank", "short", "hot"), nodes.where("twin <> id").select("id"), broadcast_ids, "left_anti")
-    lists = alone.select("id", "rank", F.explode("short").alias("key"))
-    # a list that may be long is dealt by its documents; its centre is a maximum with partial aggregation. There are
-    # fewer such lists than ``hot`` times the mean size of a set
-    many = alone.select("id", "rank", F.explode("hot").alias("key"))
-    centres = many.groupBy("key").agg(F.max(F.struct(F.col("rank").alias("rank"), (-F.col("id")).alias("less"))).alias("best"), F.count("*").alias("size")).where("size > 1")
-    stars = many.join(F.broadcast(centres), "key").select((-F.col("best.less")).alias("a"), F.col("id").alias("b"))
-    found, level = spark.createDataFrame([], "a long, b long"), 0
-    n = F.col("rank").bitwiseAND(F.lit((1 << 32) - 1))
-    while True:
-        small, large = _split(lists, direct * 2**level)  # the lists get shorter, so that few rounds are left
-        star = large.select(F.col("centre").alias("a"), F.col("id").alias("b"))
-        extra = [] if level == 0 else ["link", (F.col("at") < F.col("first")).alias("strict")]
-        # at most direct * 2**level members; of lists with the same members one is enough
-        cells = small.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", n.alias("n"), *extra))).alias("m")).select("m").distinct()
-        each = cells.select(F.posexplode("m").alias("i", "x"), "m").select("x", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("y"))
-        each = each.where((F.col("x.id") < F.col("y.id")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
-        if level == 0:
-            star = star.unionByName(stars)
-        else:
-            each = each.where((F.col("x.link") != F.col("y.link")) | (~F.col("x.link") & F.col("x.strict") & F.col("y.strict")))
-        pairs = each.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(False).alias("star")).unionByName(star.where("a <> b").withColumn("star", F.lit(True)))
-        pairs = cut(pairs.groupBy("a", "b").agg(F.max("star").alias("star")))
-        if pairs.isEmpty():
-            return nodes, found
-        checked = cut(_compare(docs, pairs, counters, width, counter_bits, percent, broadcast_ids))
+    alone = _only(info.where("n > 0").select("id", "need", "keys"), nodes.where("twin <> id").select("id"), broadcast_ids, "left_anti")
+    live = _live(alone, False, hot).groupBy("id").agg(F.count("*").alias("live"))
+    alive = cut(live.join(alone.select("id", "need"), "id").where("live >= need").select("id"))
+    held, level = cut(_whole_sets(_only(docs, alive, broadcast_ids), width, percent)), 0
+    found = spark.createDataFrame([], "a long, b long")
+    while not held.isEmpty():
+        short = cut(_short(held, _live(held, level > 0, hot)))
+        centres = short.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").drop("z")
+        edges = cut(short.join(centres, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct())
+        if edges.isEmpty():
+            break
+        placed = labels(edges).join(short.groupBy("id").agg(F.max("n").alias("n"), F.max("weight").alias("weight")), "id")
+        sizes = placed.groupBy("label").agg(F.count("*").alias("size"), F.sum("n").alias("members"), F.max(F.struct("weight", (-F.col("id")).alias("less"))).alias("best"))
+        of = placed.join(sizes, "label")
+        large = (F.col("size") > block) | (F.col("members") > BLOCK_MEMBERS)
+        hub, places = -F.col("best.less"), F.ceil(F.col("size") / TOGETHER).cast("int")
+        wanted = of.select("id", F.when(large, hub).otherwise(F.col("label")).alias("g"), F.when(large, F.pmod(F.xxhash64("id"), places.cast("long")).cast("int")).otherwise(0).alias("place"), F.when(large & (F.col("id") == hub), places).otherwise(0).alias("places"))
+        checked = cut(_search(docs, cut(wanted), width, percent, broadcast_ids))
         found = found.unionByName(checked.where("link").select("a", "b"))
-        lists = checked.select(F.col("b").alias("id"), "rank", "link", "first", F.posexplode("keys").alias("at", "key"))
-        level += 1
+        rest = checked.where("keys is not null").select("a", F.col("b").alias("id"), "n", "need", "keys")
+        if rest.isEmpty():
+            break
+        rest = rest.join(labels(found), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        open_ = rest.groupBy("a").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("a")
+        held, level = cut(rest.join(open_, "a", "left_semi").select("id", "n", "need", "label", "keys")), level + 1
+    return nodes, found
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, component): the smallest identifier that links reach. nodes: id; edges: a, b.
+def labels(edges: DataFrame) -> DataFrame:
+    """(id, label) for the ends of ``edges`` (a, b): the smallest identifier that they reach.
 
     Each node takes the smallest label among its neighbours' and then its label's own label, until nothing changes.
     """
     both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")))
+    named = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")))
     while True:
-        near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = both.join(named.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        step = named.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = step.select(F.col("id").alias("label"), F.col("label").alias("far"))
         moved = cut(step.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("far", "label")).alias("label")))
         changed = not moved.where("old <> label").isEmpty()
-        labels = moved.select("id", "label")
+        named = moved.select("id", "label")
         if not changed:
-            break
-    return nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("component"))
+            return named
 
 
-def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """id, n_shingles and component_id of every row."""
-    null = F.lit(_NULL_ID)
-    ids = df.select(F.coalesce(F.col(id_col).cast("long"), null).alias("id"))
-    if ids.groupBy("id").count().where("count > 1").isEmpty():
+def _grouped(df: DataFrame, id_col: str, text_col: str, **options) -> tuple[DataFrame, DataFrame | None]:
+    """(rows: id, node, n, of) and the table of rows by node, where identifiers don't tell rows apart: id, node, text.
+
+    of: the component's name. A node is an identifier, or where these repeat or are null a hash of identifier and text.
+    """
+    ids = df.select(F.col(id_col).cast("long").alias("id"))
+    if ids.groupBy("id").count().where("count > 1 or id is null").isEmpty():
         nodes, edges = similar(df, id_col, text_col, **options)
-        named = nodes.withColumn("node", F.col("id"))
-    else:  # rows are told apart by a hash of identifier and text
-        own = df.select(F.coalesce(F.col(id_col).cast("long"), null).alias("id"), F.col(text_col).alias("text")).withColumn("node", F.xxhash64("id", F.coalesce("text", F.lit(""))))
+        named, own = nodes.withColumn("node", F.col("id")), None
+    else:
+        text = F.col(text_col)
+        own = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+        own = own.withColumn("node", F.xxhash64(F.col("id").isNull(), "id", F.col("text").isNull(), "text"))
         nodes, edges = similar(own.dropDuplicates(["node"]), "node", "text", **options)
         named = own.select("id", "node").join(nodes.withColumnRenamed("id", "node"), "node")
-    reached = components(nodes.select(F.col("twin").alias("id")).distinct(), edges).select(F.col("id").alias("twin"), F.col("component").alias("of"))
-    out = named.join(reached, "twin")
-    least = out.groupBy("of").agg(F.min("id").alias("component_id"), F.max("id").alias("most")).where("component_id < most or of <> component_id").drop("most")
-    out = out.join(least, "of", "left").select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
-    return out.select(F.nullif("id", null).alias(id_col), F.col("n").alias("n_shingles"), F.nullif("component_id", null).alias("component_id"))
+    reached = labels(edges).select(F.col("id").alias("twin"), F.col("label").alias("of"))
+    return named.join(reached, "twin", "left").select("id", "node", "n", F.coalesce("of", "twin").alias("of")), own
+
+
+def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """id, n_shingles and component_id (the smallest identifier, null before all others) of every row."""
+    rows, own = _grouped(df, id_col, text_col, **options)
+    if own is None:  # components are named by their smallest identifier
+        return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("of").alias("component_id"))
+    rows = cut(rows)
+    first = rows.groupBy("of").agg(F.min(F.struct("id")).alias("first"))
+    return rows.join(first, "of").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first.id").alias("component_id"))
+
+
+def firsts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_ids: int = BROADCAST_IDS, **options) -> DataFrame:
+    """The rows of ``df`` of which each component keeps one: that of the smallest identifier (null first), of several texts of one identifier the one of the smallest hash.
+
+    Rows without words are no one's copy and stay, but rows that agree in identifier and text become one.
+    """
+    rows, own = _grouped(df, id_col, text_col, broadcast_ids=broadcast_ids, **options)
+    if own is None:
+        gone = cut(rows.where("id <> of").select("id"))
+        key = fresh(df, "ngram_id")
+        gone = gone.select(F.col("id").alias(key))
+        return df.withColumn(key, F.col(id_col).cast("long")).join(F.broadcast(gone) if gone.count() <= broadcast_ids else gone.hint("shuffle_merge"), key, "left_anti").drop(key)
+    rows = cut(rows)
+    first = rows.groupBy("of").agg(F.min(F.struct("id", "node")).alias("first"))
+    key = fresh(df, "ngram_node")
+    kept = rows.join(first, "of").where(F.col("node") == F.col("first.node")).select(F.col("node").alias(key)).distinct()
+    node = F.xxhash64(F.col(id_col).cast("long").isNull(), F.col(id_col).cast("long"), F.col(text_col).isNull(), F.col(text_col))
+    return df.withColumn(key, node).join(kept.hint("shuffle_merge"), key, "left_semi").dropDuplicates([key]).drop(key)

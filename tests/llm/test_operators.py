@@ -81,20 +81,69 @@ def brute_components(texts):
     return [(len(s), find(i)) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize(("direct", "broadcast"), [(3, 1_000_000), (1, 0)])
-def test_ngram_join_is_brute_force(spark, direct, broadcast):
+def near_copies(rnd, size, edits, n, kept=0):
+    """``n`` texts of ``size`` words, with up to ``edits`` words of one text changed; ``kept`` of them only at its end."""
+    base = [f"w{i}" for i in range(size)]
+    out = []
+    for k in range(n):
+        words = list(base)
+        for _ in range(rnd.randint(0, edits)):
+            words[rnd.randrange(kept, size)] = f"v{rnd.randrange(10**6)}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize(("block", "broadcast", "hot"), [(512, 1_000_000, 4096), (3, 0, 2)])
+def test_ngram_join_is_brute_force(spark, block, broadcast, hot):
+    rnd = random.Random(8)
     hub = " ".join(f"w{i}" for i in range(90))
     near = [" ".join(f"v{k}" if i in (k, (k * 7) % 90) else f"w{i}" for i in range(90)) for k in range(14)]
-    texts = made(n=30) + [hub, *near, hub]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.groups(table(spark, texts), counter_bits=12, direct=direct, broadcast_ids=broadcast, hot=1_000).collect()}
+    chain = [" ".join(f"c{i}" for i in range(k, k + 80)) for k in range(0, 60, 6)]
+    texts = made(n=30) + [hub, *near, hub, *chain, *near_copies(rnd, 120, 6, 20)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.groups(table(spark, texts), block=block, broadcast_ids=broadcast, hot=hot).collect()}
     assert [got[i] for i in range(len(texts))] == brute_components(texts)
 
 
+def test_ngram_join_of_large_groups_without_their_pairs(spark):
+    rnd = random.Random(9)
+    texts = near_copies(rnd, 150, 9, 30) + near_copies(rnd, 150, 40, 16, kept=75)
+    shared = " ".join(f"s{i}" for i in range(40))
+    texts += [shared + " " + " ".join(f"o{rnd.randrange(10**6)}" for _ in range(12)) for _ in range(20)]
+    rnd.shuffle(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.groups(table(spark, texts), block=16, hot=30).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(texts)
+
+
+def test_needed_is_what_partners_share():
+    rnd = random.Random(4)
+    for _ in range(4000):
+        base = set(range(rnd.randint(5, 60)))
+        x, y = ({e for e in base if rnd.random() > 0.2} | {100 + rnd.randrange(90) for _ in range(rnd.randint(0, 9))} for _ in range(2))
+        if x and y and x != y and base not in (x, y) and ngram_join.links(len(x), len(y), len(x & y)):
+            near = [ngram_join.links(len(base), len(s), len(s & base)) for s in (x, y)]
+            if not all(near):
+                for s, link in zip((x, y), near, strict=True):
+                    assert len((x ^ base) & (y ^ base)) >= ngram_join.needed(len(s ^ base), len(base), len(s), link) >= 1
+
+
 def test_ngram_join_of_repeated_rows_and_none(spark):
-    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "q r s"), (None, "a b c d e f"), (5, None)]
-    got = sorted(map(tuple, ngram_join.groups(spark.createDataFrame(rows, DOCS), counter_bits=10).collect()), key=str)
-    assert got == sorted([(1, 2, None), (1, 2, None), (1, 1, 1), (None, 2, None), (5, 0, 5)], key=str)
-    assert ngram_join.groups(table(spark, []), counter_bits=10).count() == 0
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "q r s"), (None, "a b c d e f"), (5, None), (1 - (1 << 63), "z z")]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = sorted(map(tuple, ngram_join.groups(docs).collect()), key=str)
+    assert got == sorted([(1, 2, None), (1, 2, None), (1, 1, 1), (None, 2, None), (5, 0, 5), (1 - (1 << 63), 1, 1 - (1 << 63))], key=str)
+    assert sorted(map(tuple, ngram_join.firsts(docs).collect()), key=str) == sorted([(1, "q r s"), (None, "a b c d e f"), (5, None), (1 - (1 << 63), "z z")], key=str)
+    assert ngram_join.groups(table(spark, [])).count() == ngram_join.firsts(table(spark, [])).count() == 0
+
+
+def test_firsts_keeps_a_row_of_each_text(spark):
+    schema = "doc_id long, text string, ngram_id int"
+    long = " ".join(f"b{i}" for i in range(40))
+    rows = [(0, "a a a", 1), (1, "a a a", 2), (1, long, 3), (2, "zz " + long, 4), (0, "a a a", 5)]
+    got = ngram_join.firsts(spark.createDataFrame(rows, schema))
+    assert got.columns == ["doc_id", "text", "ngram_id"]
+    assert sorted(r.text for r in got.collect()) == ["a a a", long]
+    got = ngram_join.firsts(spark.createDataFrame([rows[0], (3, "a a a", 2), rows[3], (4, long, 7), (5, None, 8), (6, "", 9)], schema))
+    assert sorted(map(tuple, got.collect())) == [(0, "a a a", 1), (2, "zz " + long, 4), (5, None, 8), (6, "", 9)]
 
 
 def test_divide_skip_counts():
