@@ -30,9 +30,8 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group that links of 80 % common shingles connect; documents without words stay."""
-    gone = ngram_join.groups(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """The first row of each group that links of 80 % common shingles connect; rows without words stay, equal rows become one."""
+    return ngram_join.firsts(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
