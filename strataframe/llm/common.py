@@ -35,17 +35,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/strataframe/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, forget_size: bool = False) -> DataFrame:
     """Computes ``df`` once and goes on from files in the shared folder, so that lost executors cost no recomputation of what lies before.
 
-    Shuffle files of tables that were cut before and that nothing refers to any more are let go first. The size that was
-    estimated for ``df`` is dropped: each join multiplies estimates, which in loops become numbers of millions of digits.
+    Shuffle files of tables that were cut before and that nothing refers to any more are let go first. forget_size: drops
+    the size that was estimated for ``df``, and how it is partitioned; each join multiplies estimates, which in loops
+    become numbers of millions of digits.
     """
     shared_dir(df.sparkSession)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()  # Spark removes shuffle files when their plan is collected
-    held = df.checkpoint(eager=True)._jdf
-    session = df.sparkSession
+    held = df.checkpoint(eager=True)
+    if not forget_size:
+        return held
+    session, held = df.sparkSession, held._jdf
     return DataFrame(session._jsparkSession.internalCreateDataFrame(held.queryExecution().toRdd(), held.schema(), False), session)
 
 

@@ -10,16 +10,18 @@ the short ones. Three steps apply it, each exact:
 1. Of each set only the first members in the order of their hashes are dealt out by shingle: so many that a partner has
    at least ``SHARE`` percent of n of them too. Documents with fewer lists that anyone else is in have no partner and go.
 2. Those left deal out whole sets. With the true length of each list a document needs T lists with another document in
-   them; of these it keeps all but the T - 1 longest. Documents that share a kept list are joined to groups.
-3. A group's sets meet in one task, where each document searches the inverted lists of those not reached yet: short lists
-   are merged by a heap, what is found is probed in the long ones by binary search, and whoever reaches T is looked at
-   with its own size (``divide_skip``). Only the links along which documents are reached are kept, not all pairs.
-
-Groups of more than ``BLOCK`` documents are not brought to one task. One of them, the hub, searches the lists of all
-others, which are dealt to as many places as needed. What x differs by from the hub is D(x). Of two documents that link
-and don't both link to the hub, D(x) and D(y) share a number of members that follows from the sizes and is above 0: a
-T-occurrence problem again, with D for the sets, to which steps 2 and 3 apply. Lists whose documents links have connected
-already are left out. So a group of near copies costs each of its documents one comparison and a few rows for each round.
+   them; of these it keeps all but the T - 1 longest. A group has the documents of all kept lists with the same first one.
+3. A group's sets meet in one task. One document, the hub, searches the inverted lists of all others: short lists are
+   merged by a heap, what is found is probed in the long ones by binary search, and whoever reaches T is looked at with its
+   own size (``divide_skip``). What x differs by from the hub is D(x). Of two documents that link and don't both link to the
+   hub, D(x) and D(y) share a number of members that follows from the sizes and is above 0 (``needed``): a T-occurrence
+   problem again, with small sets, by which the documents reached search for those not reached yet. Only the links along
+   which documents are reached are kept, not all pairs.
+
+Groups of more than ``BLOCK`` documents are not brought to one task. Their hub searches the lists of the others in as many
+places as needed, and the differences are dealt out by their members: documents without ``needed`` live lists go, again
+and again, and what is left goes through steps 2 and 3. So a group of near copies costs each of its documents one
+comparison and a few rows for each round.
 
 Cases: null and empty texts have no set and link to nothing; they are their own component, with 0 shingles. Equal sets
 are one class and only its first document takes part. Texts of any length are read whole. A null identifier ranks before
@@ -30,7 +32,6 @@ as they come. Extra columns are ignored. An empty table gives an empty table.
 from __future__ import annotations
 
 import heapq
-import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -42,19 +43,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, fresh
+from .counters import counter_of, long_keys
 from .shingles import WIDTH, WordHashes, mix, shingle_set
 
 PERCENT = 80
 #: Of the first members of a set, partners have so many percent of its size in common.
 SHARE = 10
 #: Groups of at most so many documents, and so many members in all sets together, are searched in one task.
-BLOCK, BLOCK_MEMBERS = 512, 1 << 21
+BLOCK, BLOCK_MEMBERS = 1024, 1 << 21
 #: About so many documents are searched by a hub in one task.
 TOGETHER = 64
-#: The table of counters that finds lists too long for one task has 2**COUNTER_BITS of them, in blocks of 2**BLOCK_BITS.
-COUNTER_BITS, BLOCK_BITS = 20, 16
-#: Lists of more than so many rows, and more than one in so many of all rows, are counted by partial aggregation.
-HOT, HOT_PART = 4096, 1000
+#: Lists that may have more than so many rows are counted by partial aggregation.
+HOT = 4096
 #: Broadcasts of identifiers up to so many; beyond, a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -132,31 +132,6 @@ def inverted(sets: list[np.ndarray]) -> tuple[list[list[int]], list[list[int]]]:
     return lists, of
 
 
-def search_group(ids: list[int], sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect what all links among the documents connect: each document searches those not reached yet."""
-    lists, of = inverted(sets)
-    left = [True] * len(ids)
-    remaining = held = len(ids)
-    found, queue = [], []
-    for start in range(len(ids)):
-        if left[start]:
-            queue, left[start], remaining = [start], False, remaining - 1
-        while queue and remaining:
-            if 2 * remaining <= held:  # the lists are freed of those reached; each time they halve
-                lists, held = [[d for d in x if left[d]] for x in lists], remaining
-            q = queue.pop()
-            t = least_common(len(sets[q]), percent)
-            own = [x for x in map(lists.__getitem__, of[q]) if x]
-            if len(own) < t:
-                continue
-            for d, common in divide_skip(own, t, t - 1).items():
-                if left[d] and links(len(sets[q]), len(sets[d]), common, percent):
-                    left[d], remaining = False, remaining - 1
-                    found.append((ids[q], ids[d]))
-                    queue.append(d)
-    return found
-
-
 def search_hub(hub: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[bool]:
     """Whether each set links to the hub's."""
     t = least_common(len(hub), percent)
@@ -169,14 +144,63 @@ def search_hub(hub: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
     return [links(len(hub), len(s), common.get(d, 0), percent) for d, s in enumerate(sets)]
 
 
-def needed(size: int, c: int, m: int, link: bool, percent: int = PERCENT) -> int:
-    """Fewest members that D of a set of ``m`` (``size`` of them, against a hub of ``c``) shares with the D of a partner, unless both link to the hub."""
-    free = (100 - percent) / (100 + percent)
-    most = 100 * m / percent
-    far = (size + (c - m) * free) / 2  # a partner that doesn't link to the hub
-    other = size - (m + most) * free  # any partner
-    near = size - (m + min(most, 100 * c / percent)) * free  # one that links to the hub
-    return max(1, int(np.ceil((max(far, other) if link else min(max(far, other), near)) - 1e-9)))
+def needed(size: int, c: int, m: int, percent: int = PERCENT) -> tuple[int, int]:
+    """What D of a set of ``m`` (``size`` members, against a hub of ``c``) shares at least with the D of a set to which it links:
+    if that one doesn't link to the hub, and if it does but this one doesn't.
+
+    Two sets that link differ by at most free = (100 - percent) / (100 + percent) of their sizes' sum, sets that don't by more.
+    So with x of m and z of r: 2 |D(x) D(z)| = |D(x)| + |D(z)| - |x z differ| >= size + |D(z)| - free (m + r). If z doesn't link
+    to the hub, |D(z)| > free (c + r). In any case |D(z)| >= size - free (m + r).
+    """
+    low, high = 100 - percent, 100 + percent
+    far = (size * high + (c - m) * low) // (2 * high) + 1
+    far = max(far, size - int((m + 100 * m / percent) * low / high + 1e-9))
+    near = size - int((m + min(100 * m, 100 * c) / percent) * low / high + 1e-9)
+    return max(1, far), max(1, near)
+
+
+def search_group(ids: list[int], sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that connect what all links among the documents connect.
+
+    The hub, whose lists are longest for its size, searches all others. What it doesn't reach is searched for by those
+    reached, and so on, in the inverted lists of the differences D from the hub; lists hold only what is not reached yet.
+    """
+    lists, of = inverted(sets)
+    size = [len(s) for s in sets]
+    hub = max(range(len(ids)), key=lambda d: (sum(len(lists[k]) for k in of[d]) / size[d], -d))
+    rest = [d for d in range(len(ids)) if d != hub]
+    near = search_hub(sets[hub], [sets[d] for d in rest], percent)
+    found = [(ids[hub], ids[d]) for d, link in zip(rest, near, strict=True) if link]
+    left = [True] * len(ids)
+    left[hub] = False
+    for d, link in zip(rest, near, strict=True):
+        left[d] = not link
+    remaining = sum(left)
+    if not remaining:
+        return found
+    differences = [np.setxor1d(sets[hub], s, assume_unique=True) for s in sets]
+    lists, of = inverted(differences)
+    lists, held = [[d for d in x if left[d]] for x in lists], remaining
+    queue = [d for d, link in zip(rest, near, strict=True) if link]
+    for start in [None, *rest]:
+        if start is not None and left[start]:
+            queue, left[start], remaining = [start], False, remaining - 1
+        while queue and remaining:
+            if 2 * remaining <= held:  # lists are freed of those reached each time these halve
+                lists, held = [[d for d in x if left[d]] for x in lists], remaining
+            q = queue.pop()
+            t = needed(len(differences[q]), size[hub], size[q], percent)[0]
+            own = [x for x in map(lists.__getitem__, of[q]) if x]
+            if len(own) < t:
+                continue
+            for d, shared in divide_skip(own, t, t - 1).items():
+                if left[d]:
+                    differ = len(differences[q]) + len(differences[d]) - 2 * shared
+                    if links(size[q], size[d], (size[q] + size[d] - differ) // 2, percent):
+                        left[d], remaining = False, remaining - 1
+                        found.append((ids[q], ids[d]))
+                        queue.append(d)
+    return found
 
 
 # ---- rows
@@ -218,44 +242,10 @@ def _whole_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, n long, need long, keys array<long>")
 
 
-def _counters(held: DataFrame, bits: int, block: int) -> np.ndarray:
-    """For each counter the number of rows (document, key) that fall to it. Its size does not depend on the input."""
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
-            keys = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            table += np.bincount((mix(keys) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
-        for k, part in enumerate(table.reshape(-1, 1 << block)):
-            if part.any():
-                yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "counts": pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(zlib.decompress(counts), np.uint32)
-                sums[k] = sums[k] + part if k in sums else part.astype(np.uint64)
-        for k, part in sums.items():
-            yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "counts": pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())})
-
-    blocks = held.select("keys").mapInArrow(fill, "block int, counts binary").repartition(1 << (bits - block), "block").mapInArrow(add, "block int, counts binary")
-    total = np.zeros((1 << (bits - block), 1 << block), np.uint64)
-    for row in blocks.toLocalIterator():  # 2**(bits - block) rows
-        total[row["block"]] += np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
-    return np.minimum(total, (1 << 32) - 1).astype(np.uint32).reshape(-1)
-
-
-def _live(held: DataFrame, labelled: bool, hot: int, bits: int = COUNTER_BITS) -> DataFrame:
-    """(id, key, size) of the rows in lists with two documents or more, ``labelled``: with two labels or more.
-
-    A list that may be long by the counters (a key's counter is at least the length of its list) is counted by partial
-    aggregation and its rows are joined to the count; the others are counted where their rows meet.
-    """
-    table = _counters(held, bits, min(BLOCK_BITS, bits))
-    limit = max(hot, int(table.sum()) // HOT_PART)
-    flags = held.sparkSession.sparkContext.broadcast(np.packbits(table > limit))
-    label = ["label"] if labelled else []
+def _dealt(held: DataFrame, more: list[str], long_ones: np.ndarray) -> DataFrame:
+    """(id, ``more`` columns, key, many) of each key of ``held``; many: its list may be too long for one task by the counters
+    (a key's counter is at least the length of its list)."""
+    flags = held.sparkSession.sparkContext.broadcast(np.packbits(long_ones))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         long = np.unpackbits(flags.value).astype(bool)
@@ -265,29 +255,63 @@ def _live(held: DataFrame, labelled: bool, hot: int, bits: int = COUNTER_BITS) -
                 keys = batch.column(batch.num_columns - 1)
                 flat = keys.flatten()
                 of = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False))
-                many = long[(mix(flat.to_numpy(zero_copy_only=False).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(of)) for i in range(batch.num_columns - 1)), flat, pa.array(many)], names=["id", *label, "key", "many"])
+                many = long[counter_of(flat.to_numpy(zero_copy_only=False))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(of)) for i in range(batch.num_columns - 1)), flat, pa.array(many)], names=["id", *more, "key", "many"])
 
-    rows = held.select("id", *label, "keys").mapInArrow(deal, f"id long, {'label long, ' if labelled else ''}key long, many boolean")
+    picked = held.select("id", *more, "keys")
+    return picked.mapInArrow(deal, ", ".join(f"{c} {t}" for c, t in picked.dtypes if c != "keys") + ", key long, many boolean")
+
+
+def _with_list(rows: DataFrame, any_many: bool, **of_list) -> DataFrame:
+    """``rows`` with aggregates of their list: where its rows meet, or for long lists by partial aggregation and a join."""
     at = Window.partitionBy("key")
-    mixed = F.min("label") < F.max("label") if labelled else F.count("*") > 1
-    few = rows.where("not many").withColumn("size", F.count("*").over(at))
-    few = few.where("size > 1") if not labelled else few.withColumn("low", F.min("label").over(at)).withColumn("high", F.max("label").over(at)).where("low < high")
-    few = few.select("id", "key", "size")
-    if not bool((table > limit).any()):
+    few = rows.where("not many").withColumns({c: f.over(at) for c, f in of_list.items()})
+    if not any_many:
         return few
-    sizes = rows.where("many").groupBy("key").agg(F.count("*").alias("size"), mixed.alias("mixed")).where("mixed").drop("mixed")
-    return few.unionByName(rows.where("many").join(sizes.hint("shuffle_merge"), "key").select("id", "key", "size"))
+    sums = rows.where("many").groupBy("key").agg(*[f.alias(c) for c, f in of_list.items()])
+    return few.unionByName(rows.where("many").join(sums.hint("shuffle_merge"), "key"))
+
+
+def _live(held: DataFrame, hot: int) -> DataFrame:
+    """(id, key, size) of the rows in lists of two documents or more."""
+    long_ones = long_keys(held.select("keys"), hot)
+    return _with_list(_dealt(held, [], long_ones), bool(long_ones.any()), size=F.count("*")).where("size > 1").select("id", "key", "size")
+
+
+#: Times that documents without enough live lists are taken out of the lists.
+_PEEL = 3
 
 
-def _short(held: DataFrame, live: DataFrame) -> DataFrame:
-    """(id, n, weight, key): the live lists but the need - 1 longest of the documents that have ``need`` of them.
+def _live_differences(held: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
+    """(held, live) of the differences that can still matter. held: id, a (hub), n, link, far, near, keys.
+
+    A partner shares ``far`` lists if it doesn't link to the hub; one that does shares ``near`` lists with a document that
+    doesn't, and nothing has to be found for two that do. Documents with fewer such lists go, and with them what made
+    others' lists live; so again.
+    """
+    long_ones = long_keys(held.select("keys"), hot)
+    own = ["id", "a"]
+    for k in range(_PEEL):
+        rows = _with_list(_dealt(held, ["a", "link"], long_ones), bool(long_ones.any()), size=F.count("*"), linked=F.count_if("link"))
+        others = F.col("size") - F.col("linked") - (~F.col("link")).cast("long")
+        live = rows.select(*own, "key", "size", (others > 0).alias("u"), (~F.col("link") & (F.col("linked") > 0)).alias("l")).where("u or l")
+        counted = live.groupBy(*own).agg(F.count_if("u").alias("us"), F.count_if("l").alias("ls"))
+        far, near = F.col("us") >= F.col("far"), ~F.col("link") & (F.col("ls") >= F.col("near"))
+        need = F.when(far & near, F.least("far", "near")).when(far, F.col("far")).otherwise(F.col("near"))
+        held = cut(held.drop("need").join(counted, own).where(far | near).select(*own, "n", "link", "far", "near", need.alias("need"), "keys"), forget_size=True)
+        if held.isEmpty():
+            break
+    return held, live.select(*own, "key", "size")
+
+
+def _short(held: DataFrame, live: DataFrame, own: list[str]) -> DataFrame:
+    """(``own``, n, weight, key): the live lists but the need - 1 longest of the documents that have ``need`` of them.
 
     Two documents that link share ``need`` live lists; the shortest of these is kept by both. weight: how long a
     document's lists are for its size.
     """
-    one = live.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("m"), F.sum("size").alias("sum"))  # as many as the set has members
-    enough = one.join(held.select("id", "n", "need"), "id").where(F.size("m") >= F.col("need"))
+    one = live.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("m"), F.sum("size").alias("sum"))  # as many as the set has members
+    enough = one.join(held.select(*own, "n", "need"), own).where(F.size("m") >= F.col("need"))
     kept = F.slice("m", F.lit(1), (F.size("m") - F.col("need") + 1).cast("int"))
     return enough.select("id", "n", (F.col("sum") / F.col("need")).alias("weight"), F.explode(F.transform(kept, lambda x: x["key"])).alias("key"))
 
@@ -299,11 +323,11 @@ def _only(df: DataFrame, ids: DataFrame, broadcast_ids: int, how: str = "left_se
 
 
 _SENT = "g long, place int, kind int, id long, set binary"
-_TOLD = "a long, b long, link boolean, n long, need long, keys array<long>"
+_TOLD = "a long, b long, link boolean, n long, far long, near long, keys array<long>"
 
 
 def _search(docs: DataFrame, wanted: DataFrame, width: int, percent: int, broadcast_ids: int) -> DataFrame:
-    """wanted: id, g (group), place, places (above 0 for a hub). Links found in groups; for documents of a hub's group also its D."""
+    """wanted: id, g (group), place, places (above 0 for a hub), a row for each group of a document. Links found in groups; for documents of a hub's group also its D."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -312,13 +336,13 @@ def _search(docs: DataFrame, wanted: DataFrame, width: int, percent: int, broadc
                 rows = []
                 for x in whole.slice(k, 200).to_pylist():
                     raw = shingle_set(x["text"], memo, width).tobytes()
-                    if not x["places"]:
-                        rows.append((x["g"], x["place"], 1, x["id"], raw))
-                    for i in range(x["places"]):
-                        rows.append((x["g"], i, 0, x["id"], raw))
-                        if len(rows) >= 200:
-                            yield _batch(rows, sent)
-                            rows = []
+                    for seat in x["seats"]:
+                        places = seat["places"]
+                        for g, place, kind in [(seat["g"], i, 0) for i in range(places)] or [(seat["g"], seat["place"], 1)]:
+                            rows.append((g, place, kind, x["id"], raw))
+                            if len(rows) >= 200:
+                                yield _batch(rows, sent)
+                                rows = []
                 if rows:
                     yield _batch(rows, sent)
 
@@ -339,7 +363,8 @@ def _search(docs: DataFrame, wanted: DataFrame, width: int, percent: int, broadc
 
     sent = pa.schema([("g", pa.int64()), ("place", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("set", pa.binary())])
     few = wanted.count() <= broadcast_ids
-    texts = docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_merge"), "id")
+    of = wanted.groupBy("id").agg(F.collect_list(F.struct("g", "place", "places")).alias("seats"))  # as many as a document has kept lists
+    texts = docs.join(F.broadcast(of) if few else of.hint("shuffle_merge"), "id")
     return texts.mapInArrow(send, _SENT).repartition("g", "place").sortWithinPartitions("g", "place", "kind", "id").mapInArrow(solve, _TOLD)
 
 
@@ -348,9 +373,9 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _solved(kinds: list[int], ids: list[int], sets: list[np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
-    told = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("link", pa.bool_()), ("n", pa.int64()), ("need", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    told = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("link", pa.bool_()), ("n", pa.int64()), ("far", pa.int64()), ("near", pa.int64()), ("keys", pa.list_(pa.int64()))])
     if kinds[0]:
-        rows = [(a, b, True, None, None, None) for a, b in search_group(ids, sets, percent)]
+        rows = [(a, b, True, None, None, None, None) for a, b in search_group(ids, sets, percent)]
         if rows:
             yield _batch(rows, told)
         return
@@ -361,8 +386,8 @@ def _solved(kinds: list[int], ids: list[int], sets: list[np.ndarray], percent: i
         rows = []
         for b, s, link in zip(ids[1 + k : 101 + k], sets[1 + k : 101 + k], near[k : k + 100], strict=True):
             d = np.setxor1d(hub, s, assume_unique=True)
-            need = needed(len(d), len(hub), len(s), link, percent)
-            rows.append((a, b, link, len(s), need, mix(d ^ salt).view(np.int64) if len(d) >= need else None))
+            far, near_ = needed(len(d), len(hub), len(s), percent)
+            rows.append((a, b, link, len(s), far, near_, mix(d ^ salt).view(np.int64) if len(d) >= min(far, near_) else None))
         yield _batch(rows, told)
 
 
@@ -383,30 +408,32 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     nodes = info.select("id", "n", "digest").join(F.broadcast(copies) if few else copies.hint("shuffle_merge"), "digest", "left")
     nodes = cut(nodes.select("id", "n", F.coalesce("twin", "id").alias("twin")))
     alone = _only(info.where("n > 0").select("id", "need", "keys"), nodes.where("twin <> id").select("id"), broadcast_ids, "left_anti")
-    live = _live(alone, False, hot).groupBy("id").agg(F.count("*").alias("live"))
+    live = _live(alone, hot).groupBy("id").agg(F.count("*").alias("live"))
     alive = cut(live.join(alone.select("id", "need"), "id").where("live >= need").select("id"))
     held, level = cut(_whole_sets(_only(docs, alive, broadcast_ids), width, percent)), 0
     found = spark.createDataFrame([], "a long, b long")
     while not held.isEmpty():
-        short = cut(_short(held, _live(held, level > 0, hot)))
+        if level:
+            held, live = _live_differences(held, hot)
+        else:
+            live = _live(held, hot)
+        short = cut(_short(held, live, ["id", "a"] if level else ["id"]), forget_size=True)
+        # a group has the documents that share a list with its first one in that list; two that link share a kept list
         centres = short.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").drop("z")
-        edges = cut(short.join(centres, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct())
-        if edges.isEmpty():
+        members = cut(short.join(centres, "key").groupBy("a", "id").agg(F.max("n").alias("n"), F.max("weight").alias("weight")), forget_size=True)
+        if members.isEmpty():
             break
-        placed = labels(edges).join(short.groupBy("id").agg(F.max("n").alias("n"), F.max("weight").alias("weight")), "id")
-        sizes = placed.groupBy("label").agg(F.count("*").alias("size"), F.sum("n").alias("members"), F.max(F.struct("weight", (-F.col("id")).alias("less"))).alias("best"))
-        of = placed.join(sizes, "label")
+        sizes = members.groupBy("a").agg(F.count("*").alias("size"), F.sum("n").alias("members"), F.max(F.struct("weight", (-F.col("id")).alias("less"))).alias("best"))
         large = (F.col("size") > block) | (F.col("members") > BLOCK_MEMBERS)
         hub, places = -F.col("best.less"), F.ceil(F.col("size") / TOGETHER).cast("int")
-        wanted = of.select("id", F.when(large, hub).otherwise(F.col("label")).alias("g"), F.when(large, F.pmod(F.xxhash64("id"), places.cast("long")).cast("int")).otherwise(0).alias("place"), F.when(large & (F.col("id") == hub), places).otherwise(0).alias("places"))
-        checked = cut(_search(docs, cut(wanted), width, percent, broadcast_ids))
+        seat = F.pmod(F.xxhash64("id"), places.cast("long")).cast("int")
+        wanted = members.join(sizes, "a").select("id", F.col("a").alias("g"), F.when(large, seat).otherwise(0).alias("place"), F.when(large & (F.col("id") == hub), places).otherwise(0).alias("places"))
+        checked = cut(_search(docs, cut(wanted), width, percent, broadcast_ids), forget_size=True)
         found = found.unionByName(checked.where("link").select("a", "b"))
-        rest = checked.where("keys is not null").select("a", F.col("b").alias("id"), "n", "need", "keys")
-        if rest.isEmpty():
-            break
-        rest = rest.join(labels(found), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        open_ = rest.groupBy("a").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("a")
-        held, level = cut(rest.join(open_, "a", "left_semi").select("id", "n", "need", "label", "keys")), level + 1
+        rest = checked.where("far is not null").select("a", F.col("b").alias("id"), "n", "link", "far", "near", "keys")
+        # where all documents of a group link to its hub there is nothing left to find
+        open_ = rest.where("not link").select("a").distinct()
+        held, level = cut(rest.where("keys is not null").join(open_, "a", "left_semi").dropDuplicates(["id", "a"]), forget_size=True), level + 1
     return nodes, found
 
 
@@ -415,13 +442,13 @@ def labels(edges: DataFrame) -> DataFrame:
 
     Each node takes the smallest label among its neighbours' and then its label's own label, until nothing changes.
     """
-    both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    named = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")))
+    both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), forget_size=True)
+    named = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")), forget_size=True)
     while True:
         near = both.join(named.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
         step = named.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = step.select(F.col("id").alias("label"), F.col("label").alias("far"))
-        moved = cut(step.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("far", "label")).alias("label")))
+        moved = cut(step.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("far", "label")).alias("label")), forget_size=True)
         changed = not moved.where("old <> label").isEmpty()
         named = moved.select("id", "label")
         if not changed:
