@@ -6,7 +6,7 @@ candidate merges runs over the bytes as a linked list, lowest rank first and lef
 Cases: a null or empty text has no ids (``ids`` is empty bytes) and decodes to empty bytes. Null ``ids`` decode to
 empty bytes; an id outside the vocabulary raises. Texts of any length are encoded whole: a pre-token of n bytes costs
 O(n log n). Rows are independent, so ties and repeated rows change nothing; all other columns pass through, and a
-column that already has the output's name is replaced. An empty table gives an empty table.
+column that already has the output's name, in whatever case, is replaced. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -20,14 +20,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .tokens import UnitEncoder, kept, spaced_units
 
-#: Fixed value: the public pattern that cuts text into pre-tokens for these ranks.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
 _MASK = (1 << 64) - 1
 
 
@@ -153,11 +151,11 @@ class Encoder:
 
 
 def _with(schema: T.StructType, name: str) -> T.StructType:
-    return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, T.BinaryType())])
+    return T.StructType([f for f in schema.fields if f.name.lower() != name.lower()] + [T.StructField(name, T.BinaryType())])
 
 
 def _replaced(batch: pa.RecordBatch, name: str, column: list, without: str = "") -> pa.RecordBatch:
-    keep = [i for i, c in enumerate(batch.schema.names) if c not in (name, without)]
+    keep = [i for i, c in enumerate(batch.schema.names) if c.lower() != name.lower() and c != without]
     return pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(column, pa.binary())], names=[*(batch.schema.names[i] for i in keep), name])
 
 

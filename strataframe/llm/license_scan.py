@@ -30,7 +30,13 @@ from .common import fresh
 
 THRESHOLD = 0.8
 
-#: Customary wording of public licence notices.
+_WARRANTY = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+_BSD_WARRANTY = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+_BSD_TERMS = "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_ISC_WARRANTY = 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
+
+#: Customary wording of public licence notices and of whole short licences.
 TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -48,6 +54,13 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
+TEMPLATES |= {
+    "bsd-2-clause-text": f"{TEMPLATES['bsd-notice']} {_BSD_TERMS} {_BSD_WARRANTY}",
+    "bsd-3-clause-text": f"{TEMPLATES['bsd-notice']} {_BSD_TERMS} {_BSD_THIRD} {_BSD_WARRANTY}",
+    "isc-text": f"{TEMPLATES['isc']} {_ISC_WARRANTY}",
+    "mit-text": f"{TEMPLATES['mit-grant']} The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_WARRANTY}",
+    "zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+}
 
 
 def neighbours(text: str) -> list[str]:
@@ -103,7 +116,7 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, threshold: floa
 
         own = F.filter(hits, lambda h: h["p"].isin(g))
         best = let(own, lambda own: F.array_max(F.transform(own, lambda s: from_start(s, own))))
-        return ranked(k, F.when(F.size(F.array_intersect(held, F.lit(g))) >= need, best).otherwise(F.lit(0.0)))
+        return ranked(k, F.when(F.size(F.filter(held, lambda p: p.isin(g))) >= need, best).otherwise(F.lit(0.0)))
 
     row, hits, held, inside, at, scores = (fresh(df, f"license_{x}") for x in ("row", "hits", "held", "inside", "found", "scores"))
     every = sorted({x for _, g in sets for x in g})

@@ -9,7 +9,7 @@ confidence, bounds the prior.
 
 The inputs are measures of the whole text (``FEATURES``) and their squares. The fit sees at most ``sample`` positives and
 ``sample`` unlabelled texts, those whose identifiers' hashes are smallest (a uniform sample that doesn't depend on
-partitions); every text is scored.
+partitions); the unlabelled shares of the class prior are counted over all unlabelled texts, and every text is scored.
 
 Cases: null and empty texts have all measures 0 and the score that these get. Labels that are null or repeated: a
 document is a positive if any row of its labels says so. Repeated documents get equal scores. Extra columns of documents
@@ -24,7 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .common import fresh
 from .shingles import WordHashes, windows
 
 FEATURES = ("log_words", "symbols", "others", "capitals", "digits", "marks", "bars", "repeats", "same_words", "dup_lines", "word_length", "short_words", "line_words", "stops")
@@ -39,7 +41,8 @@ _CLASS[128:] = 6  # letters of other scripts, byte by byte
 
 
 def held_out(key: Column) -> Column:
-    return F.crc32(key.cast("string").cast("binary")) % FOLDS == HELD_OUT
+    """Whether a row belongs to the fold that no label is learned from; a null key does not."""
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
 def measures(text: str | None, memo: WordHashes) -> np.ndarray:
@@ -126,17 +129,42 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
     return model
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among the unlabelled: the least of (share of unlabelled above a score) / (share of positives above it), with margins."""
+def thresholds(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[Model, np.ndarray, np.ndarray, int]:
+    """(model, scores, share of positives at or above each, how many these are of) of a model of one half, on the other half's positives."""
     half_p, half_u = len(positive) // 2, len(unlabelled) // 2
     model = fit(positive[:half_p] if half_p else positive, unlabelled[:half_u] if half_u else unlabelled, 0.5)
-    p, u = np.sort(model.score(positive[half_p:])), np.sort(model.score(unlabelled[half_u:]))
+    p = np.sort(model.score(positive[half_p:]))
     at = np.quantile(p, np.linspace(0.0, 0.9, 91))
-    qp = 1 - np.searchsorted(p, at, "left") / len(p)
-    qu = 1 - np.searchsorted(u, at, "left") / len(u)
-    margin = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(p)) + 1 / np.sqrt(len(u)))
-    best = int(np.argmin((qu + margin) / qp))
-    return float(np.clip(qu[best] / qp[best], 0.05, 0.95))
+    return model, at, 1 - np.searchsorted(p, at, "left") / len(p), len(p)
+
+
+def counts_above(texts: DataFrame, text_col: str, model: Model, at: np.ndarray) -> np.ndarray:
+    """How many texts there are, and how many score at or above each of ``at``: over all rows, added up on the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, total = WordHashes(), np.zeros(len(at) + 1, np.int64)
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1000):
+                x = np.array([measures(t.as_py(), memo) for t in whole.slice(k, 1000).column(0)]).reshape(-1, len(FEATURES))
+                if len(x):
+                    total[0] += len(x)
+                    total[1:] += len(x) - np.searchsorted(np.sort(model.score(x)), at, "left")
+        yield pa.RecordBatch.from_pydict({"place": pa.array(range(len(total)), pa.int32()), "n": pa.array(total, pa.int64())})
+
+    rows = texts.select(text_col).mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()  # one for each threshold
+    out = np.zeros(len(at) + 1, np.int64)
+    for r in rows:
+        out[r["place"]] = r["n"]
+    return out
+
+
+def class_prior(above: np.ndarray, positives_above: np.ndarray, n_positive: int) -> float:
+    """Share of positives among the unlabelled: the least of (share of unlabelled above a score) / (share of positives above it), with margins."""
+    n = max(1, int(above[0]))
+    share = above[1:] / n
+    margin = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(n_positive) + 1 / np.sqrt(n))
+    best = int(np.argmin((share + margin) / positives_above))
+    return float(np.clip(share[best] / positives_above[best], 0.05, 0.95))
 
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> tuple[Model | None, float]:
@@ -154,15 +182,17 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     if not p or not u:
         return None, 0.5
     p, u = np.array([r[0] for r in p]), np.array([r[0] for r in u])
-    prior = class_prior(p, u)
+    half, at, above, n = thresholds(p, u)
+    unlabelled = texts.join(chosen, id_col, "left_anti")
+    prior = class_prior(counts_above(unlabelled, text_col, half, at), above, n)
     return fit(p, u, prior), prior
 
 
 def score(documents: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (the identifier, if none are named) and ``score`` of every row."""
-    keep = [id_col] if keep is None else keep
+    """``keep`` columns (the identifier, if none are named) and ``score`` (``score_2`` and so on if that is one of them) of every row."""
+    keep = [id_col] if keep is None else list(dict.fromkeys(keep))
     columns = list(dict.fromkeys([*keep, text_col]))
-    name = "score"
+    name = fresh(documents.select(*keep), "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -175,6 +205,4 @@ def score(documents: DataFrame, model: Model | None, id_col: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(s, pa.float64())], names=[*keep, name])
 
     picked = documents.select(*columns)
-    from pyspark.sql import types as T
-
     return picked.mapInArrow(run, T.StructType([*(picked.schema[c] for c in keep), T.StructField(name, T.DoubleType())]))

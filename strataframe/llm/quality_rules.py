@@ -65,8 +65,8 @@ def _repeat_words(w: Column) -> Column:
     return _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
 
 
-def _measures(df: DataFrame, text_col: str) -> DataFrame:
-    """``df`` with the counts and the rules' further measures in one struct column ``_m``."""
+def _measures(df: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``df`` with the counts and the rules' further measures in one struct column ``name``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def counts(w: Column, lines: Column) -> Column:
@@ -85,7 +85,7 @@ def _measures(df: DataFrame, text_col: str) -> DataFrame:
 
     words = F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    return df.withColumn("_m", _let(F.struct(words.alias("w"), lines.alias("l")), lambda x: counts(x["w"], x["l"])))
+    return df.withColumn(name, _let(F.struct(words.alias("w"), lines.alias("l")), lambda x: counts(x["w"], x["l"])))
 
 
 def votes(m: Column) -> Column:
@@ -146,9 +146,9 @@ def judge(df: DataFrame, text_col: str = "text", keep_text: bool = True) -> Data
     for the table of votes and for the result, which costs less than keeping the texts.
     """
     names = {c: fresh(df, c) for c in (*COUNTS, "votes", "posterior", "base_failed", "kept")}
-    measured = _measures(df, text_col)
-    m = F.col("_m")
-    measured = measured.withColumns({**{names[c]: m[c] for c in COUNTS}, names["votes"]: votes(m)}).drop("_m")
+    own = fresh(df, "rules_measures")
+    m = F.col(own)
+    measured = _measures(df, text_col, own).withColumns({**{names[c]: m[c] for c in COUNTS}, names["votes"]: votes(m)}).drop(own)
     if not keep_text:
         measured = cut(measured.drop(text_col))
     counted = measured.groupBy(F.col(names["votes"]).alias("v")).count().collect()  # at most 3**rules rows
