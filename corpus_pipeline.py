@@ -2,6 +2,11 @@
 
 Each stage takes what the stage before it kept and returns the columns of documents; the last returns pieces of
 sequences. Stages are written as Parquet to the shared folder between each other, so a lost executor costs no earlier stage.
+
+Cases: a null or empty text fails the base rules and goes in the first stage. Null identifiers are identifiers like any
+other, before all others. Repeated rows: the rules and the classifier judge each alike, the near-duplicate stage keeps one
+of them; rows of one identifier with other texts are told apart. Extra columns of the input are dropped. An empty table
+gives an empty table after each stage.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strataframe.llm import ngram_join, packing, pu_quality, quality_rules, substring_dedup
 from strataframe.llm.common import new_folder, table
-from strataframe.llm.queries import TOKENIZERS
+from strataframe.llm.queries import WORD_BPE
 
 #: The columns of documents.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -42,7 +47,7 @@ def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json", end_id=1, with_ids=False)
+    return packing.pack(docs, WORD_BPE, end_id=1, with_ids=False)
 
 
 STAGES = [
