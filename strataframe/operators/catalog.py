@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.operators import ordered
+
 
 def first_match(rules: list[tuple[Column, str]], default: str | None = None) -> Column:
     """Label of the first rule that holds; null conditions don't hold."""
@@ -37,14 +39,6 @@ def pooled_ratio(df: DataFrame, keys: list[str], source: Column, output: Column)
     return df.groupBy(*keys).agg(F.round(F.sum(source) / F.greatest(F.sum(output), F.lit(1)), 6).alias("ratio"))
 
 
-def nearest_rank(df: DataFrame, keys: list[str], value: str, percents: tuple[int, ...] = (0, 25, 50, 75, 95, 100)) -> DataFrame:
-    """Element ``min(n - 1, q * n div 100)`` of the sorted values for each q, by ranks rather than by collecting a group."""
-    w = Window.partitionBy(*keys)
-    ranked = df.where(F.col(value).isNotNull()).select(*keys, value, (F.row_number().over(w.orderBy(value)) - 1).alias("_rank"), F.count("*").over(w).alias("_n"))
-    at = lambda q: F.least(F.col("_n") - 1, F.floor(F.lit(q) * F.col("_n") / 100))
-    return ranked.groupBy(*keys).agg(*[F.max(F.when(F.col("_rank") == at(q), F.col(value))).alias(f"q{q}") for q in percents])
-
-
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Last row of each key by ``order`` (which should be unique), as one aggregation without a window's sort."""
     rest = [c for c in df.columns if c not in keys]
@@ -75,30 +69,22 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, present: str) -> Dat
     return o.join(n, key, "full").select(key, state.alias("state"))
 
 
-def spans(df: DataFrame, group: list[str], position: str, batch: int) -> DataFrame:
-    """Runs of consecutive positions, of at most ``batch`` members: first, last, members."""
-    w = Window.partitionBy(*group).orderBy(position)
-    gap = (F.col(position) - F.lag(position).over(w) != 1).cast("int")
-    runs = df.select(*group, position, F.sum(F.coalesce(gap, F.lit(0))).over(w).alias("_run"))
-    inside = Window.partitionBy(*group, "_run").orderBy(position)
-    cells = runs.withColumn("_cell", F.floor((F.row_number().over(inside) - 1) / batch))
-    return cells.groupBy(*group, "_run", "_cell").agg(F.min(position).alias("first"), F.max(position).alias("last"), F.count("*").alias("members")).drop("_run", "_cell")
-
-
 def running_offset(df: DataFrame, group: list[str], position: str, length: str, header: int = 0) -> DataFrame:
-    """Offset of each member: header plus the lengths before it."""
-    w = Window.partitionBy(*group).orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("offset", F.lit(header) + F.coalesce(F.sum(length).over(w), F.lit(0)))
+    """Adds ``offset`` of each member: header plus the lengths before it."""
+    return ordered.running_sum(df, group, position, length, "offset").withColumn("offset", F.col("offset") + F.lit(header))
 
 
 def acquisition_order(df: DataFrame, group: list[str], name: str, storage: str) -> DataFrame:
-    """Adds ``acq_idx``: rank of the trailing number of the name; null for the whole group if one lacks it or two share it."""
+    """Adds ``acq_idx``: rank of the trailing number of the name; null for the whole group if one lacks it or two share it.
+
+    Whether a group is numbered comes from counts, joined back; ranks come from ordered cells of the numbers.
+    """
     number = F.expr(f"try_cast(regexp_extract({name}, '([0-9]+)(\\\\.[A-Za-z0-9]+)?$', 1) as bigint)")
     numbered = df.withColumn("_n", number)
-    whole = Window.partitionBy(*group)
-    ok = (F.count("*").over(whole) == F.count("_n").over(whole)) & (F.size(F.collect_set("_n").over(whole)) == F.count("_n").over(whole))
-    rank = F.row_number().over(whole.orderBy("_n", storage)) - 1
-    return numbered.withColumn("acq_idx", F.when(ok, rank).cast("long")).drop("_n")
+    counted = numbered.groupBy(*group, "_n").agg(F.count("*").alias("_times")).groupBy(*group).agg((F.max("_times") == 1).alias("_once"), (F.count("*") == F.count("_n")).alias("_all"))
+    rows = ordered.ranked(numbered, group, "_n", "acq_idx", [storage])
+    rows = ordered.on_keys(rows, counted, group)
+    return rows.withColumn("acq_idx", F.when(F.col("_once") & F.col("_all"), F.col("acq_idx")).cast("long")).drop("_n", "_once", "_all")
 
 
 def same_multiset(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
@@ -106,3 +92,9 @@ def same_multiset(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     x = a.groupBy(column).agg(F.count("*").alias("n_a"))
     y = b.groupBy(column).agg(F.count("*").alias("n_b"))
     return x.join(y, column, "full").select(column, F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b")).where("n_a <> n_b")
+
+
+def siblings(df: DataFrame, group: list[str], key: str, name: str) -> DataFrame:
+    """(key, ``name``): how many other rows of the group there are; groups with a null have none. Counted, not paired."""
+    n = df.groupBy(*group).agg((F.count("*") - 1).alias(name))
+    return df.join(n, group, "left").select(key, F.coalesce(name, F.lit(0)).alias(name))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strataframe.operators import catalog as C
 from strataframe.operators import frames as X
+from strataframe.operators import ordered as O
 from strataframe.plans.catalog_queries import read
 
 QUERIES: dict = {}
@@ -60,39 +61,41 @@ def x4_shift_detection(spark, d):
 
 @query(f"select label, round(log2(sum(n)) - sum(n * log2(n)) / sum(n), 6) bits from (select label, v, count(*) n from {PX_SQL} group by 1, 2) group by 1")
 def a20_entropy(spark, d):
-    return X.entropy(X.pixels(frames(spark, d), ["label"]), ["label"], "v")
+    return X.entropy(frames(spark, d), ["label"])
 
 
-@query(f"select (v >> 4) & 15 nibble, count(*) n from {PX_SQL} group by 1")
+@query(f"select (v // 16) & 15 nibble, count(*)::bigint n from {PX_SQL} group by 1")
 def a21_low_nibble(spark, d):
-    return X.pixels(frames(spark, d), []).groupBy(F.shiftright("v", 4).bitwiseAND(F.lit(15)).alias("nibble")).agg(F.count("*").alias("n"))
+    """Low nibble of the samples without their four zero bits."""
+    shifted = frames(spark, d).withColumn("samples", F.transform("samples", lambda x: F.shiftright(x, 4)))
+    return X.histogram(shifted, [], of=lambda x: x & 15).select(F.col("v").cast("int").alias("nibble"), "n")
 
 
 @query(f"select label, min(g)::int smallest, max(g)::int largest, count(*) n from (select label, v - lag(v) over (partition by label order by v) g from (select distinct label, v from {PX_SQL})) where g is not null group by 1")
 def a22_value_gaps(spark, d):
     from pyspark.sql import Window
 
-    v = X.pixels(frames(spark, d), ["label"]).select("label", "v").distinct()
-    g = v.select("label", (F.col("v") - F.lag("v").over(Window.partitionBy("label").orderBy("v"))).alias("g")).where("g is not null")
+    v = X.histogram(frames(spark, d), ["label"]).select("label", "v")  # at most 65,536 rows for a label
+    g = v.select("label", (F.col("v") - F.lag("v").over(Window.partitionBy("label").orderBy("v"))).cast("int").alias("g")).where("g is not null")
     return g.groupBy("label").agg(F.min("g").alias("smallest"), F.max("g").alias("largest"), F.count("*").alias("n"))
 
 
 @query(f"select label, px, vec_id % 2 parity, round(avg(v), 4) mean, round(stddev_pop(v), 4) sd from {PX_SQL} group by 1, 2, 3")
 def a23_pixel_mean_sd(spark, d):
-    p = X.pixels(frames(spark, d).withColumn("parity", F.col("vec_id") % 2), ["label", "parity"])
-    return p.groupBy("label", F.col("px").cast("long").alias("px"), "parity").agg(F.round(F.avg("v"), 4).alias("mean"), F.round(F.stddev_pop("v"), 4).alias("sd"))
+    p = X.pixel_stats(frames(spark, d).withColumn("parity", F.col("vec_id") % 2), ["label", "parity"])
+    return p.select("label", F.col("px").cast("long").alias("px"), "parity", F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd"))
 
 
 @query(f"select label, round(avg(log2(sqrt(2 * pi() * exp(1)) * greatest(sd, 0.5))), 6) floor_bits from (select label, px, stddev_pop(v) sd from {PX_SQL} group by 1, 2) group by 1")
 def a24_noise_floor(spark, d):
-    sd = X.pixels(frames(spark, d), ["label"]).groupBy("label", "px").agg(F.stddev_pop("v").alias("sd"))
+    sd = X.pixel_stats(frames(spark, d), ["label"])
     return sd.groupBy("label").agg(F.round(F.avg(F.log2(F.sqrt(F.lit(2) * F.pi() * F.e()) * F.greatest("sd", F.lit(0.5)))), 6).alias("floor_bits"))
 
 
 @query(f"select vec_id // 40 block, vec_id % 2 parity, round(avg(v), 6) mean from {PX_SQL} group by 1, 2")
 def a25_block_mean(spark, d):
-    p = X.pixels(frames(spark, d), ["vec_id"])
-    return p.groupBy(F.floor(F.col("vec_id") / 40).alias("block"), (F.col("vec_id") % 2).alias("parity")).agg(F.round(F.avg("v"), 6).alias("mean"))
+    f = frames(spark, d).select(F.floor(F.col("vec_id") / 40).alias("block"), (F.col("vec_id") % 2).alias("parity"), "samples")
+    return X.histogram(f, ["block", "parity"]).groupBy("block", "parity").agg(F.round(F.sum(F.col("v") * F.col("n")) / F.sum("n"), 6).alias("mean"))
 
 
 @query(f"select vec_id, min(v)::int lowest, max(v)::int highest, round(avg(v), 6) mean from {PX_SQL} group by 1")
@@ -104,10 +107,8 @@ def x16_frame_stats(spark, d):
 
 @query(f"select label, vec_id, sum(abs(v - p))::bigint residual from (select *, lag(v) over (partition by label, px order by vec_id) p from {PX_SQL}) where p is not null group by 1, 2")
 def w6_temporal_delta(spark, d):
-    from pyspark.sql import Window
-
-    f = frames(spark, d).withColumn("before", F.lag("samples").over(Window.partitionBy("label").orderBy("vec_id"))).where("before is not null")
-    delta = F.aggregate(F.zip_with("samples", "before", lambda a, b: F.abs(a - b)), F.lit(0).cast("long"), lambda s, x: s + x)
+    f = O.with_previous(frames(spark, d), ["label"], "vec_id", ["samples"]).where("samples_before is not null")
+    delta = F.aggregate(F.zip_with("samples", "samples_before", lambda a, b: F.abs(a - b)), F.lit(0).cast("long"), lambda s, x: s + x)
     return f.select("label", "vec_id", delta.alias("residual"))
 
 
@@ -128,10 +129,11 @@ def t7_even_picks(spark, d):
     return spark.createDataFrame([(i,) for i in X.even_picks(n, 7)], "vec_id long")
 
 
-@query(f"select 'x' k where false")
+@query(f"select coalesce(a.k, b.k) k, coalesce(a.n, 0) n_a, coalesce(b.n, 0) n_b from (select sha256(array_to_string(s, ',')) k, count(*) n from {FRAMES_SQL} where vec_id % 10 <> 3 group by 1) a full join (select sha256(array_to_string(list_reverse(list_reverse(s)), ',')) k, count(*) n from {FRAMES_SQL} where vec_id % 10 <> 4 group by 1) b on a.k = b.k where coalesce(a.n, 0) <> coalesce(b.n, 0)")
 def u4_permutation_check(spark, d):
-    f = frames(spark, d).select(F.sha2(F.array_join(F.transform("samples", lambda x: x.cast("string")), ","), 256).alias("digest"))
-    return C.same_multiset(f, f.repartition(4), "digest").select(F.col("digest").alias("k"))
+    """Frames of which one side has more copies; both sides lack some."""
+    f = frames(spark, d).select("vec_id", F.sha2(F.array_join(F.transform("samples", lambda x: x.cast("string")), ","), 256).alias("k"))
+    return C.same_multiset(f.where("vec_id % 10 <> 3"), f.where("vec_id % 10 <> 4"), "k")
 
 
 @query(f"select vec_id, list_sum(list_transform(s, lambda x: x // 256))::bigint high, list_sum(list_transform(s, lambda x: x % 256))::bigint low from {FRAMES_SQL}")
