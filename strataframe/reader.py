@@ -33,9 +33,8 @@ class ArchiveReader:
             return []
         if min(indices) < 0 or max(indices) >= len(self):
             raise IndexError(f"frames are numbered 0 to {len(self) - 1}")
-        name = self.archive.replace("\\", "\\\\").replace("'", "\\'")
         wanted = sorted(set(indices))
-        low = f"archive = '{name}' and {by} between {wanted[0]} and {wanted[-1]}"
+        low = f"{container.literal('archive', self.archive)} and {by} between {wanted[0]} and {wanted[-1]}"
         rows = container.frames(self.spark, self.folder, f"{low} and {by} in ({','.join(map(str, wanted))})")
         found = {r[by]: np.frombuffer(bytes(r["pixels"]), "<u2").reshape(r["rows"], r["cols"]) for r in rows.toLocalIterator()}
         return [found[i] for i in indices]

@@ -33,6 +33,13 @@ def state_of(path: str) -> tuple[int, int]:
     return info.size or 0, info.mtime_ns or 0
 
 
+def drop_folder(path: str) -> None:
+    """Deletes a folder of our own with what is in it, if it is there."""
+    system, at = store(path)
+    if system.get_file_info(at).type == fs.FileType.Directory:
+        system.delete_dir(at)
+
+
 def tars_in(path: str) -> list[str]:
     """A file itself, or the .tar files below a folder, sorted."""
     system, at = store(path)
@@ -45,9 +52,11 @@ def tars_in(path: str) -> list[str]:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; where the session names none (tests on one machine), a temporary one."""
+    """A new folder below spark.checkpoint.dir; where the session names none, a temporary one, if all runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="strataframe-")
         spark.conf.set("spark.checkpoint.dir", named)
     return f"{named.rstrip('/')}/strataframe/{name}-{uuid.uuid4().hex}"

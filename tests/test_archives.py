@@ -1,6 +1,7 @@
 import hashlib
 import io
 import os
+import re
 import tarfile
 
 import numpy as np
@@ -64,7 +65,7 @@ def test_uneven_members_by_walk(spark, tmp_path):
     path = str(tmp_path / "u.tar")
     assert [bytes(r.body) for r in tar.read_tars(spark, path, bodies=True).orderBy("entry_no").collect()] == bodies
     row = container.uniformity(spark, path).first()
-    assert (row.uniform, row.n_members, row.break_at_member) == (False, 4, 1)
+    assert (row.uniform, row.n_members, row.break_at_member, row.next_names) == (False, 1, 1, ["m1", "m2", "m3"])
 
 
 def test_size_fields():
@@ -116,15 +117,20 @@ def test_compress_verify_rebuild_and_read(spark, tmp_path, kind):
     assert told["n_frames"] == 9 and (np.fromfile(tmp_path / "f.bin", "<u2").reshape(-1, 40, 48) == frames[3:]).all()
 
 
-def test_damage_is_told(spark, tmp_path):
-    path = raw_tar(tmp_path / "s.tar", stack(4))
-    folder = str(tmp_path / "store")
-    container.compress(spark, [path], folder, shape=(40, 48))
+def damage(spark, folder):
+    """Swaps the codes of two frames."""
     whole = spark.read.parquet(f"{folder}/frames").orderBy("entry_no").collect()
     at = f"{folder}/frames/{os.listdir(folder + '/frames')[0]}"
     swapped = [r.asDict() | {"code": whole[1 - k].code, "crc": whole[1 - k].crc} if k < 2 else r.asDict() for k, r in enumerate(whole)]
     schema = spark.read.parquet(at).schema
     spark.createDataFrame([tuple(r[c] for c in schema.names) for r in swapped], schema).write.mode("overwrite").parquet(at)
+
+
+def test_damage_is_told(spark, tmp_path):
+    path = raw_tar(tmp_path / "s.tar", stack(4))
+    folder = str(tmp_path / "store")
+    container.compress(spark, [path], folder, shape=(40, 48))
+    damage(spark, folder)
     row = container.verify(spark, folder).first()
     assert row.ok is False and row.reason == "pixels differ"
 
@@ -145,7 +151,106 @@ def test_refusals_and_partial_archives(spark, tmp_path):
     meta = container.compress(spark, [path], str(tmp_path / "a"), shape=(40, 48), evidence=evidence([r[:3] + (True,) for r in proof])).first()
     assert (meta.partial, meta.dropped_bytes, meta.source_tar_sha256, meta.n_frames) == (True, 4005, None, 6)
     row = container.verify(spark, str(tmp_path / "a")).first()
-    assert row.ok is None and row.bytes % 10240 == 0
+    assert row.ok is True and row.bytes % 10240 == 0 and row.bytes == meta.frames_tar_bytes and row.sha256 == meta.frames_tar_sha256
     done = container.decompress(spark, str(tmp_path / "a"), str(tmp_path / "out")).first()
+    assert hashlib.sha256(open(done.path, "rb").read()).hexdigest() == meta.frames_tar_sha256
     with tarfile.open(done.path) as t:
         assert t.getnames() == [f"1/frame-{k}" for k in range(6)]
+    damage(spark, str(tmp_path / "a"))
+    row = container.verify(spark, str(tmp_path / "a")).first()
+    assert row.ok is False and row.reason == "pixels differ"
+
+
+def test_frames_among_other_members_by_their_modal_size(spark, tmp_path):
+    frames = stack(6)
+    path = str(tmp_path / "m.tar")
+    with tarfile.open(path, "w", format=tarfile.USTAR_FORMAT) as t:
+        add(t, "notes.txt", b"hello")
+        add(t, "1/", b"", kind=tarfile.DIRTYPE)
+        for k, f in enumerate(frames):
+            add(t, f"1/frame-{k}", f.astype("<u2").tobytes())
+            if k == 2:
+                add(t, "middle.bin", b"\2" * 999)
+    proof = spark.createDataFrame([(path, "notes.txt", 5, True), (path, "middle.bin", 999, True)], "archive string, name string, size long, verified boolean")
+    folder = str(tmp_path / "store")
+    meta = container.compress(spark, [path], folder, shape=(40, 48), evidence=proof).first()
+    assert (meta.n_frames, meta.n_tar_entries, meta.first_member if "first_member" in meta else None) == (6, 7, None)
+    assert container.verify(spark, folder).first().ok and not os.path.exists(f"{folder}/staging/batch={meta.batch}")
+    r = ArchiveReader(spark, folder, path)
+    assert all((r[k] == frames[k]).all() for k in (0, 3, 5))
+
+
+def test_a_scan_out_of_step_is_done_as_a_walk(spark, tmp_path):
+    frames = stack(9)
+    path = str(tmp_path / "gap.tar")
+    with tarfile.open(path, "w", format=tarfile.USTAR_FORMAT) as t:
+        for k, f in enumerate(frames):
+            add(t, f"1/frame-{k}", f.astype("<u2").tobytes())
+            if k == 3:  # as long as a member, so that headers lie in step again behind it
+                for j in range(9):
+                    add(t, f"d{j}/", b"", kind=tarfile.DIRTYPE)
+    folder = str(tmp_path / "store")
+    meta = container.compress(spark, [path], folder, shape=(40, 48)).first()
+    assert (meta.n_frames, meta.n_tar_entries) == (9, 18) and container.verify(spark, folder).first().ok
+
+
+def test_same_names_of_two_folders_stay_apart(spark, tmp_path):
+    paths = []
+    for k in range(2):
+        (tmp_path / f"in{k}").mkdir()
+        paths.append(raw_tar(tmp_path / f"in{k}" / "s.tar", stack(3, seed=k)))
+    folder = str(tmp_path / "store")
+    container.compress(spark, paths, folder, shape=(40, 48))
+    done = container.decompress(spark, folder, str(tmp_path / "out")).collect()
+    assert len({r.path for r in done}) == 2 and all(r.ok and open(r.path, "rb").read() == open(r.archive, "rb").read() for r in done)
+
+
+def test_few_frames_are_read_by_literals(spark, tmp_path):
+    path = raw_tar(tmp_path / "s.tar", stack(6))
+    folder = str(tmp_path / "store")
+    container.compress(spark, [path], folder, shape=(40, 48))
+    rows = container.frames(spark, folder, "acq_idx = 2")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"\(entry_no#\d+L = 2\)", plan) and rows.count() == 1
+
+
+def test_acquisition_order_of_many_members(spark):
+    from pyspark.sql import functions as F
+
+    from strataframe.operators import catalog
+
+    named = spark.range(300_000).select(F.lit("a").alias("archive"), F.col("id").alias("storage"), F.concat(F.lit("1/frame-"), 299_999 - F.col("id")).alias("name"))
+    rows = catalog.acquisition_order(named, ["archive"], "name", "storage")
+    assert rows.where("acq_idx <> 299999 - storage or acq_idx is null").count() == 0
+
+
+def test_uneven_padding_set_low_bits_and_flipped_bytes_are_refused(spark, tmp_path):
+    frames = stack(12, shift=4)
+    path = raw_tar(tmp_path / "p.tar", frames)
+    raw = bytearray(open(path, "rb").read())
+    body = 512 + 40 * 48 * 2
+    raw[body + 3] = 1  # in the padding of the first member
+    open(tmp_path / "pad.tar", "wb").write(raw)
+    with pytest.raises(Exception, match="padding"):
+        container.compress(spark, [str(tmp_path / "pad.tar")], str(tmp_path / "a"), shape=(40, 48))
+    x = codec.Layout(40, 48, "<u2", 0, 3840, False)
+    odd = frames[0].copy()
+    odd[3, 3] |= 1
+    with pytest.raises(codec.LosslessCheckFailed, match="below the shift"):
+        codec.proven(odd.astype("<u2").tobytes(), x, 4)
+    code, _, crc, _ = codec.proven(frames[0].astype("<u2").tobytes(), x, 4)
+    flipped = bytearray(code)
+    flipped[len(code) // 2] ^= 1
+    with pytest.raises(codec.LosslessCheckFailed, match="checksum"):
+        codec.samples(bytes(flipped), crc, x, 4)
+
+
+def test_source_byte_order_of_flat_files(spark, tmp_path):
+    frames = stack(4)
+    with tarfile.open(tmp_path / "b.tar", "w", format=tarfile.USTAR_FORMAT) as t:
+        for k, f in enumerate(frames):
+            add(t, f"1/frame_{k}.tiff", tiff(f))
+    folder = str(tmp_path / "store")
+    container.compress(spark, [str(tmp_path / "b.tar")], folder)
+    told = container.extract_binary(spark, folder, str(tmp_path / "b.tar"), str(tmp_path / "f.bin"), byteorder="source")
+    assert told["dtype"] == ">u2" and (np.fromfile(tmp_path / "f.bin", ">u2").reshape(-1, 40, 48) == frames).all()
