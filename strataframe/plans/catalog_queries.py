@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import scalars as S
 from strataframe.operators import catalog as C
+from strataframe.operators import ordered as O
+from strataframe.operators import picks as K
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -89,12 +91,12 @@ _RANKED = "select o_orderpriority k, o_totalprice v, row_number() over (partitio
 
 @query(f"select k o_orderpriority, " + ", ".join(f"max(case when r = least(n - 1, {q} * n // 100) then v end) q{q}" for q in (0, 25, 50, 75, 95, 100)) + f" from ({_RANKED}) group by 1")
 def a10_nearest_rank(spark, d):
-    return C.nearest_rank(read(spark, d, "orders"), ["o_orderpriority"], "o_totalprice")
+    return O.nearest_rank(read(spark, d, "orders"), ["o_orderpriority"], "o_totalprice")
 
 
 @query(f"select k o_orderpriority, max(case when r = least(n - 1, 50 * n // 100) then v end) upper_median from ({_RANKED}) group by 1")
 def a11_upper_median(spark, d):
-    return C.nearest_rank(read(spark, d, "orders"), ["o_orderpriority"], "o_totalprice", (50,)).withColumnRenamed("q50", "upper_median")
+    return O.nearest_rank(read(spark, d, "orders"), ["o_orderpriority"], "o_totalprice", (50,)).withColumnRenamed("q50", "upper_median")
 
 
 @query("select strftime(ts, '%Y-%m-%d') as day, count(*) n, round(sum(value), 2) total from events group by 1")
@@ -144,21 +146,52 @@ def p1_classify(spark, d):
 
 both("p2_in_scope", "select p_partkey, p_size from {part} where p_type in ('ECONOMY', 'STANDARD') and p_size > 0")
 both("p3_work_list", "select o_orderkey, o_totalprice from {orders} where o_orderstatus = 'F' and o_totalprice between 1000 and 200000 and o_orderpriority in ('1-URGENT', '2-HIGH')")
-both("p4_band", "select p_partkey, case when p_name like '%ring' then 'ap' when p_name like '%widget' then 'lf' else '' end band from {part}")
+_NAMED = "(select p_partkey, case p_partkey % 4 when 0 then p_name || '.ap.bin' when 1 then p_name || '.lf.bin' when 2 then p_name || '.nidq.bin' else p_name end n from part)"
 
 
-@query("select page_id, split_part(url, '/', 4) subject, split_part(split_part(url, '/', 5), '?', 1) session from pages where split_part(split_part(url, '/', 5), '?', 1) ~ '^[0-9]+$'")
+@query(f"select p_partkey, regexp_extract(n, '[.](ap|lf|nidq)[.]bin$', 1) band from {_NAMED}")
+def p4_band(spark, d):
+    k = F.col("p_partkey") % 4
+    name = F.concat("p_name", F.when(k == 0, ".ap.bin").when(k == 1, ".lf.bin").when(k == 2, ".nidq.bin").otherwise(""))
+    return read(spark, d, "part").select("p_partkey", S.band(name).alias("band"))
+
+
+_PLACED = "(select o_orderkey, case when o_orderkey % 9 = 0 then 'Z:/other/x' else 'Y:/Subjects/C' || o_custkey || '/' || case when o_orderkey % 7 = 0 then 'notes' else strftime(o_orderdate, '%Y-%m-%d') end || '/' || o_orderkey % 4 || '/a.tar' end p from orders)"
+
+
+@query(f"""select o_orderkey, case when p like 'Y:%' then split_part(p, '/', 3) else '' end subject, case when regexp_matches(split_part(p, '/', 4), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') and p like 'Y:%' then split_part(p, '/', 4) else '' end date,
+case when regexp_matches(split_part(p, '/', 4), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') and p like 'Y:%' then split_part(p, '/', 5) else '' end session from {_PLACED}""")
 def p5_session_parts(spark, d):
-    parts = F.split("url", "/")
-    session = F.split(F.coalesce(F.get(parts, 4), F.lit("")), "\\?")[0]
-    return read(spark, d, "pages").select("page_id", F.get(parts, 3).alias("subject"), session.alias("session")).where(F.col("session").rlike("^[0-9]+$"))
+    return placed(spark, d).select("o_orderkey", S.session_parts(F.col("p"), "Y:/Subjects").alias("s")).select("o_orderkey", "s.*")
+
+
+def placed(spark, d):
+    """Orders as files of sessions; some outside the root, some in folders that aren't dates."""
+    k = F.col("o_orderkey")
+    day = F.when(k % 7 == 0, "notes").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    path = F.when(k % 9 == 0, "Z:/other/x").otherwise(F.concat(F.lit("Y:/Subjects/C"), "o_custkey", F.lit("/"), day, F.lit("/"), k % 4, F.lit("/a.tar")))
+    return read(spark, d, "orders").select("o_orderkey", path.alias("p"))
+
+
+_RECORDINGS = "(select p_partkey, case when p_partkey % 11 = 0 then null when p_partkey % 17 = 0 then 0 else p_size * 770 + p_partkey % 3 * 385 end size, p_partkey % 5 = 0 coded, case when p_partkey % 7 = 0 then null else true end meta, case when p_partkey % 13 = 0 then 0 else 385 end channels, 30000.0 rate from part)"
 
 
-both("p6_skip_ladder", "select o_orderkey, case when o_totalprice <= 0 then 'empty' when o_orderstatus = 'P' then 'pending' when o_orderpriority like '5%' then 'low' end reason from {orders}")
+@query(f"""select p_partkey, case when size is null then 'size unknown' when coded then 'compressed already' when meta is null then 'no description' when channels = 0 then 'no channels or rate'
+when size % (2 * channels) <> 0 then 'no whole number of samples' when size = 0 then 'empty' end reason from {_RECORDINGS}""")
+def p6_skip_ladder(spark, d):
+    k = F.col("p_partkey")
+    size = F.when(k % 11 == 0, F.lit(None)).when(k % 17 == 0, F.lit(0)).otherwise(F.col("p_size") * 770 + k % 3 * 385)
+    reason = S.skip_reason(size.cast("long"), k % 5 == 0, F.when(k % 7 != 0, F.lit(True)), F.when(k % 13 == 0, 0).otherwise(385), F.lit(30000.0))
+    return read(spark, d, "part").select("p_partkey", reason.alias("reason"))
 both("p7_companions", "select d.doc_id, d.doc_id in (select doc_id from {labels}) has_label from {documents} d")
 both("p8_min_age", "select event_id from {events} where ts <= timestamp '2024-01-10 00:00:00'")
 both("p10_transient", "select page_id from {pages} where url like '%ref=%' and url not like '%.partial-%'")
-both("p13_blocked_geometry", "select p_partkey, p_size % 7 = 0 and p_brand is not null blocked from {part}")
+@query("select p_partkey, p_partkey % 3 = 0 and (p_size % 7 = 0 or p_partkey % 10 = 0) blocked from part")
+def p13_blocked_geometry(spark, d):
+    """Every third part stands for headerless frames; some have no rows, some no columns."""
+    k = F.col("p_partkey")
+    kind, cols = S.member_kind(F.concat(F.when(k % 3 == 0, "1/frame-").otherwise("1/x.tif"), k.cast("string"), F.when(k % 3 == 0, "").otherwise(".tif"))), F.when(k % 10 != 0, F.lit(560))
+    return read(spark, d, "part").select("p_partkey", S.blocked_geometry(kind, F.col("p_size") % 7, cols).alias("blocked"))
 
 _LATEST = "select user_id, event_id, event_type, value from (select *, row_number() over (partition by user_id order by event_id desc) r from events where event_type <> 'error') where r = 1"
 
@@ -186,7 +219,7 @@ def w5_smallest_per_group(spark, d):
 (select source, doc_id, sum(gap) over (partition by source order by doc_id) run from (select source, doc_id, case when doc_id - lag(doc_id) over (partition by source order by doc_id) <> 1 then 1 else 0 end gap from documents)))
 group by source, run, cell""")
 def w7_spans(spark, d):
-    return C.spans(read(spark, d, "documents"), ["source"], "doc_id", 4)
+    return O.spans(read(spark, d, "documents"), ["source"], "doc_id", 4)
 
 
 both("w8_slots", "select doc_id, doc_id - 100 slot from {documents} where doc_id >= 100 and doc_id < 400")
@@ -207,11 +240,20 @@ def w1_acquisition_order(spark, d):
     return C.acquisition_order(named, ["source"], "name", "doc_id").drop("name")
 
 
-both("t1_sorted_work", "select o_orderkey, o_totalprice, row_number() over (partition by o_orderpriority order by o_totalprice desc, o_orderkey) place from {orders}", "select o_orderkey, o_totalprice, row_number() over (partition by o_orderpriority order by o_totalprice desc, o_orderkey) place from orders")
+@query("select o_orderkey, o_totalprice, row_number() over (partition by o_orderpriority order by o_totalprice desc, o_orderkey) place from orders")
+def t1_sorted_work(spark, d):
+    o = read(spark, d, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice", (-F.col("o_totalprice")).alias("less"))
+    return O.ranked(o, ["o_orderpriority"], "less", "place", ["o_orderkey"]).select("o_orderkey", "o_totalprice", (F.col("place") + 1).alias("place"))
+
+
 both("t2_limit_after_filter", "select o_orderkey from {orders} where o_orderstatus = 'F' order by o_totalprice, o_orderkey limit 50")
-both("t3_cumulative_stop", "select o_custkey, o_orderkey from (select *, sum(cast(round(o_totalprice * 100) as bigint)) over (partition by o_custkey order by o_orderkey) s from {orders}) t where s <= 50000000")
+@query("select o_orderkey from (select o_orderkey, sum(cast(round(o_totalprice * 100) as bigint)) over (order by o_orderkey) - cast(round(o_totalprice * 100) as bigint) b from orders) where b < 5000000000")
+def t3_cumulative_stop(spark, d):
+    return K.cumulative_stop(read(spark, d, "orders").select("o_orderkey", cents().alias("c")), "o_orderkey", "c", 5_000_000_000).select("o_orderkey")
 both("t4_top_n", "select c_custkey, c_acctbal from {customer} order by c_acctbal desc, c_custkey limit 20")
-both("t5_min_by", "select c_mktsegment, min(c_custkey) c_custkey from {customer} where c_acctbal > 9000 group by c_mktsegment")
+@query("select c_custkey, c_name, c_acctbal from customer order by c_acctbal, c_custkey limit 1")
+def t5_min_by(spark, d):
+    return K.smallest(read(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), "c_acctbal", ["c_custkey"])
 both("t10_stride_sample", "select doc_id from {documents} where doc_id % 20 = 0 order by doc_id limit 40")
 
 
@@ -226,7 +268,10 @@ def u2_union_logs(spark, d):
     return a.unionByName(read(spark, d, "conversations").select(F.col("conv_id").alias("event_id"), "role"), allowMissingColumns=True)
 
 
-both("u3_missing_strata", "select distinct p_brand, p_type from {part} except select distinct p_brand, p_type from {part} where p_size > 25")
+@query("select distinct p_brand, p_type from part except select distinct p_brand, p_type from part where p_size > 25 and p_partkey % 4 = 0")
+def u3_missing_strata(spark, d):
+    p = read(spark, d, "part").select("p_brand", "p_type", "p_size", "p_partkey")
+    return K.missing_strata(p, p.where("p_size > 25 and p_partkey % 4 = 0"), ["p_brand", "p_type"])
 both("u5_member_difference", "select coalesce(a.doc_id, b.doc_id) doc_id, a.doc_id is null only_b, b.doc_id is null only_a from (select doc_id from {documents} where doc_id % 3 <> 0) a full join (select doc_id from {documents} where doc_id % 4 <> 0) b on a.doc_id = b.doc_id where a.doc_id is null or b.doc_id is null")
 
 
@@ -263,17 +308,6 @@ def j6_snapshot_diff(spark, d):
     return C.snapshot_diff(snap(e.where("event_id % 3 = 0")), snap(e.where("event_id % 3 <> 0 and event_id % 5 < 2")), "user_id", "present")
 
 
-@query("""select item_id, stage, doc_id from (select *, row_number() over (partition by item_id order by stage, doc_id) r from (
-select b.item_id, 1 stage, d.doc_id from benchmark b join documents d on d.doc_id = b.item_id and d.lang = 'en' union all
-select b.item_id, 2, d.doc_id from benchmark b join documents d on d.n_chars = length(b.text))) where r = 1""")
-def j7_staged_lookup(spark, d):
-    b = F.broadcast(read(spark, d, "benchmark").select("item_id", F.length("text").cast("long").alias("n")))
-    docs = read(spark, d, "documents").select("doc_id", "lang", "n_chars")
-    one = docs.where("lang = 'en'").join(b, F.col("doc_id") == F.col("item_id")).select("item_id", F.lit(1).alias("stage"), "doc_id")
-    two = docs.join(b, F.col("n_chars") == F.col("n")).select("item_id", F.lit(2).alias("stage"), "doc_id")
-    return one.unionByName(two).groupBy("item_id").agg(F.min(F.struct("stage", "doc_id")).alias("m")).select("item_id", "m.stage", "m.doc_id")
-
-
 @query("""select page_id, n_nationkey from (select p.page_id, n.n_nationkey, row_number() over (partition by page_id order by pos) r from (select page_id, unnest(string_split(url, '/')) seg, generate_subscripts(string_split(url, '/'), 1) pos from pages) p
 join nation n on lower(p.seg) = lower(concat('', n.n_nationkey * 33))) where r = 1""")
 def j8_first_segment(spark, d):
@@ -283,22 +317,15 @@ def j8_first_segment(spark, d):
 
 
 both("j10_key_rewrite", "select s_suppkey, concat('bucket/', lower(s_name)) object_key, n_name from {supplier} s join {nation} n on s.s_nationkey = n.n_nationkey")
-both("j11_sibling", "select p.page_id, count(q.page_id) siblings from {pages} p left join {pages} q on split_part(p.url, '/', 4) = split_part(q.url, '/', 4) and split_part(p.url, '/', 3) = split_part(q.url, '/', 3) and p.page_id <> q.page_id group by p.page_id")
-both("j16_corrected_totals", "select (select sum(p_size) from {part}) - (select sum(p_size) from {part} where p_type = 'PROMO') kept_bytes", "select ((select sum(p_size) from part) - (select sum(p_size) from part where p_type = 'PROMO'))::bigint kept_bytes")
-
-_GATE = [("o.o_orderstatus = 'P'", "not ok"), ("n = 0", "no files"), ("short = 1", "size drift"), ("flagged > 2", "flagged"), ("o.o_totalprice < 1000", "too small")]
+@query("select p.page_id, count(q.page_id) siblings from pages p left join pages q on split_part(p.url, '/', 4) = split_part(q.url, '/', 4) and split_part(p.url, '/', 3) = split_part(q.url, '/', 3) and p.page_id <> q.page_id group by p.page_id")
+def j11_sibling(spark, d):
+    part = lambda k: F.split_part("url", F.lit("/"), F.lit(k))
+    p = read(spark, d, "pages").select("page_id", part(3).alias("host"), part(4).alias("folder"))
+    return C.siblings(p, ["host", "folder"], "page_id", "siblings")
 
 
-@query("select o.o_orderkey, case " + " ".join(f"when {c} then '{r}'" for c, r in _GATE) + " else 'SAFE' end reason from orders o join (select o_orderkey, count(l_orderkey) n, coalesce(min(case when l_quantity < 2 then 1 else 0 end), 0) short, count(*) filter (l_returnflag = 'R') flagged from orders left join lineitem on l_orderkey = o_orderkey group by 1) x on x.o_orderkey = o.o_orderkey")
-def g1_deletion_audit(spark, d):
-    items = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"), F.min((F.col("l_quantity") < 2).cast("int")).alias("short"), F.count_if(F.col("l_returnflag") == "R").alias("flagged"))
-    o = read(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").join(items, "o_orderkey", "left").fillna(0, ["n", "short", "flagged"])
-    return o.select("o_orderkey", C.first_match([(F.expr(c.replace("o.", "")), r) for c, r in _GATE], "SAFE").alias("reason"))
-
+both("j16_corrected_totals", "select (select sum(p_size) from {part}) - (select sum(p_size) from {part} where p_type = 'PROMO') kept_bytes", "select ((select sum(p_size) from part) - (select sum(p_size) from part where p_type = 'PROMO'))::bigint kept_bytes")
 
-both("g2_gate_conditions", "select o_orderkey, 'C1' k, o_orderstatus = 'F' ok from {orders} union all select o_orderkey, 'C2', case when o_orderpriority like '4%' then null else o_totalprice > 5000 end from {orders}")
-both("g3_sweep_report", "select o_custkey, case when min(case when o_orderstatus = 'F' then 1 else 0 end) = 1 then 'PASS' else 'REFUSE' end verdict, sum(case when o_orderstatus <> 'F' then 1 else 0 end) refusals from {orders} group by o_custkey", "select o_custkey, case when bool_and(o_orderstatus = 'F') then 'PASS' else 'REFUSE' end verdict, count(*) filter (o_orderstatus <> 'F') refusals from orders group by 1")
-both("g5_latest_version", "select user_id, max(ts) latest from {events} where event_type in ('signup', 'purchase') group by user_id")
 both("g7_preflight", "select p_brand, count(distinct p_size) sizes, count(distinct p_size) <= 1 uniform from {part} group by p_brand")
 both("r1_resume", "select o.o_orderkey from {orders} o left join (select distinct l_orderkey from {lineitem} where l_shipdate < timestamp '1998-01-01 00:00:00') l on l.l_orderkey = o.o_orderkey where l.l_orderkey is null")
 
@@ -321,9 +348,11 @@ def f10_trailing_number(spark, d):
     return read(spark, d, "customer").select("c_custkey", F.expr("try_cast(regexp_extract(c_name, '([0-9]+)$', 1) as bigint)").alias("number"))
 
 
-@query("select page_id, lower(replace(url, '/', '/')) path from pages")
+@query("select page_id, lower(concat('y:/data/', replace(url, '/', '/'))) path from pages")
 def f11_canonical_path(spark, d):
-    return read(spark, d, "pages").select("page_id", S.canonical_path(F.col("url")).alias("path"))
+    """Addresses written with backslashes and in upper case."""
+    written = F.concat(F.lit("Y:\\Data\\"), F.upper(F.replace(F.col("url"), F.lit("/"), F.lit("\\"))))
+    return read(spark, d, "pages").select("page_id", S.canonical_path(written).alias("path"))
 
 
 @query("select item, case when trim(s) = '' or s like '/%' or regexp_matches(s, '^[A-Za-z]:') or list_contains(string_split(s, '/'), '..') then false else true end safe from (select page_id item, case page_id % 5 when 0 then '../' || page_id when 1 then '/abs/' || page_id when 2 then 'C:/x' when 3 then '' else 'a/b' || page_id end s from pages)")
@@ -333,7 +362,11 @@ def f12_safe_names(spark, d):
     return read(spark, d, "pages").select(i.alias("item"), S.safe_name(name).alias("safe"))
 
 
-both("f14_grouped_integer", "select p_partkey, cast(replace(concat(p_size, ',', '000'), ',', '') as bigint) n from {part}")
+@query("select o_orderkey, o_orderkey * 1234 n from orders")
+def f14_grouped_integer(spark, d):
+    """Numbers written with separators and read back."""
+    text = F.format_number(F.col("o_orderkey") * 1234, 0)
+    return read(spark, d, "orders").select("o_orderkey", S.grouped_integer(text).alias("n"))
 
 
 @query("select doc_id, sha256(text) digest from documents")
