@@ -45,6 +45,24 @@ def run(spark: SparkSession, source: str, folder: str, shape: tuple[int, int] |
     return out
 
 
+def supervise(spark: SparkSession, source: str, folder: str, shape: tuple[int, int] | None = None, quiet: float = 3600, limit: int | None = None, rounds: int = 1, pause: float = 60, stop_file: str | None = None) -> list:
+    """Runs until nothing remains, ``rounds`` runs are over or ``stop_file`` is there, pausing longer after each run that got nothing done. Returns the last
+    log row of each archive."""
+    last, wait = {}, pause
+    for k in range(rounds):
+        if stop_file:
+            system, at = store(stop_file)
+            if system.get_file_info(at).type.name != "NotFound":
+                break
+        rows = run(spark, source, folder, shape, quiet, limit).collect()  # a row for each archive worked on
+        last |= {r["archive"]: r for r in rows}
+        if not rows or k == rounds - 1 or not remaining(spark, source, folder, quiet):
+            break
+        wait = pause if any(r["ok"] for r in rows) else 2 * wait
+        time.sleep(wait)
+    return list(last.values())
+
+
 def event_windows(events: DataFrame, width: str = "1 hour", late: str = "1 day") -> DataFrame:
     """Counts and sums by event type and tumbling window; on a stream, windows end when the watermark passes them."""
     at = F.window("ts", width)
