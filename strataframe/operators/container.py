@@ -13,6 +13,7 @@ is a fold in byte order, one task for an archive.
 from __future__ import annotations
 
 import hashlib
+import os
 import time
 import uuid
 from collections import Counter
@@ -27,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.functions.scalars import safe_name
+from strataframe.functions.scalars import archive_kind, safe_name
 from strataframe.operators import codec
 from strataframe.operators.catalog import acquisition_order
 from strataframe.operators.frames import even_picks
@@ -40,7 +41,7 @@ SHIFT_SAMPLE = 400
 #: So many chosen entries become literals of the scan.
 LITERALS = 1000
 _LAYOUT = ("rows", "cols", "dtype", "px_start", "px_len", "is_tiff")
-_META = "archive string, error string, source_bytes long, state_size long, state_mtime long, n_sampled int, shift int, sampled_payload_bits int, member_bytes long, first_member string, rows int, cols int, dtype string, px_start int, px_len int, is_tiff boolean, shell binary"
+_META = "archive string, error string, source_bytes long, state_size long, state_mtime long, n_sampled int, shift int, sampled_payload_bits int, maxval int, member_bytes long, first_member string, rows int, cols int, dtype string, px_start int, px_len int, is_tiff boolean, shell binary"
 
 
 class UnsupportedArchive(ValueError):
@@ -87,16 +88,18 @@ def probe(spark: SparkSession, *paths: str, shape: tuple[int, int] | None = None
                 return row | {"error": "EMPTY"}
             width, name, places = found
             row |= {"member_bytes": width, "first_member": name}
-            layout, mask, picks = None, 0, even_picks(len(places), sample)
+            layout, mask, top, picks = None, 0, 0, even_picks(len(places), sample)
             for k in picks:
                 file.seek(places[k])
                 raw = file.read(width)
                 if layout is None:
                     layout = codec.detect(raw, shape)
                     row |= {c: getattr(layout, c) for c in _LAYOUT} | {"shell": codec.split(raw, layout)[1]}
-                mask |= int(np.bitwise_or.reduce(np.frombuffer(codec.split(raw, layout)[0], layout.dtype).astype(np.uint16)))
+                px = np.frombuffer(codec.split(raw, layout)[0], layout.dtype).astype(np.uint16)
+                mask |= int(np.bitwise_or.reduce(px))
+                top = max(top, int(px.max()))
         shift = (mask & -mask).bit_length() - 1 if mask else 0
-        return row | {"n_sampled": len(picks), "shift": shift, "sampled_payload_bits": max(mask.bit_length() - shift, 0)}
+        return row | {"n_sampled": len(picks), "shift": shift, "sampled_payload_bits": max(mask.bit_length() - shift, 0), "maxval": top}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,6 +190,23 @@ def check_discard(entries: DataFrame, evidence: DataFrame) -> None:
         raise UnverifiedDiscard(f"no verified copy of {[tuple(r) for r in open_]}")
 
 
+def census(spark: SparkSession, server: str, *paths: str, shape: tuple[int, int] | None = None, sample: int = 3) -> DataFrame:
+    """A census row of each archive: kind, size, estimated frames, geometry, shift, payload bits and the greatest sample seen."""
+    found = probe(spark, *paths, shape=shape, sample=sample)
+    frames = F.floor(F.col("source_bytes") / (512 + F.ceil(F.col("member_bytes") / 512) * 512))
+    columns = {c: F.coalesce(c, F.lit(0)) for c in ("member_bytes", "rows", "cols", "maxval")}
+    return found.select(
+        F.lit(server).alias("server"), F.col("archive").alias("path"), F.col("source_bytes").alias("bytes"), archive_kind(F.col("first_member"), F.col("error")).alias("kind"), columns["member_bytes"].alias("member_bytes"),
+        F.coalesce(frames, F.lit(0)).cast("long").alias("est_frames"), columns["rows"].alias("rows"), columns["cols"].alias("cols"), F.coalesce("shift", F.lit(-1)).alias("shift"), F.coalesce("sampled_payload_bits", F.lit(0)).alias("payload_bits"),
+        columns["maxval"].alias("maxval"), F.col("first_member"), F.col("error"),
+    )
+
+
+def same_place(source: str, target: str) -> bool:
+    """Whether two local paths are one file, by name or by link; a target like that must not be written."""
+    return os.path.realpath(source) == os.path.realpath(target) or os.path.exists(source) and os.path.exists(target) and os.path.samefile(source, target)
+
+
 def _list_once(spark: SparkSession, sources: list[str], target: str, scan: str) -> str:
     """Writes all headers to ``target``; a planned scan that finds members out of place is done again as a walk. Returns how it was done."""
     try:
@@ -461,8 +481,6 @@ def member(spark: SparkSession, folder: str, archive: str, where: str) -> bytes:
 
 def extract(spark: SparkSession, folder: str, archive: str, target: str, first: int = 0, stop: int | None = None, order: str = "acquisition", overwrite: bool = False) -> DataFrame:
     """Writes members as files below ``target`` (a mounted folder) with name and time; (name, path, bytes). Unsafe names are refused before anything is written."""
-    import os
-
     rows = _members(spark, folder).where(F.col("archive") == archive)
     bad = rows.where(~safe_name(F.col("name"))).select("name").take(1)
     if bad:
@@ -513,9 +531,9 @@ def _window(spark: SparkSession, folder: str, archive: str, first: int, stop: in
 
 def extract_binary(spark: SparkSession, folder: str, archive: str, target: str, first: int = 0, stop: int | None = None, order: str = "acquisition", byteorder: str = "little") -> dict:
     """Writes frames one after the other to a flat file (on a mounted folder), each task at its frames' positions; returns its description."""
-    import os
-
     meta = archives(spark, folder).where(F.col("archive") == archive).first()
+    if same_place(archive, target):
+        raise ValueError(f"{target} is the source itself")
     slots = _window(spark, folder, archive, first, stop, order)
     by = "acq_idx" if order == "acquisition" and meta["temporal_order_known"] else "storage_idx"
     chosen = frames(spark, folder, f"{literal('archive', archive)} and {by} between {first} and {first + slots.count() - 1}").withColumn("slot", F.col(by) - first)

@@ -191,3 +191,41 @@ def test_ordered_cells_equal_whole_windows(spark):
     want = got.withColumn("w", F.row_number().over(Window.partitionBy("g").orderBy("p", "id")) - 1)
     assert want.where("r <> w").count() == 0 and want.count() == 5000
     assert ordered.ranked(rows.limit(0), ["g"], "p", "r").count() == ordered.spans(rows.limit(0), ["g"], "p", 3).count() == 0
+
+
+def test_walks_keep_what_cannot_be_read(spark, tmp_path):
+    for path in ("a/b/c/1.tar", "a/2.tar", "x.txt"):
+        (tmp_path / "w" / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "w" / path).write_text("12")
+    os.symlink(tmp_path / "w" / "a", tmp_path / "w" / "a" / "loop")
+    found = files.walk(spark, str(tmp_path / "w"), 3, "[.]tar$").collect()
+    rows = {(os.path.relpath(r.path, tmp_path / "w"), r.kind) for r in found}
+    assert rows == {("a", "folder"), ("a/2.tar", "file"), ("a/b", "folder"), ("a/b/c", "folder")}
+    missing = files.walk(spark, str(tmp_path / "none")).collect()
+    assert [(r.kind, r.error.split(":")[0]) for r in missing] == [("error", "FileNotFoundError")]
+
+
+def test_recording_files(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "1.meta").write_text("nSavedChans=385\nimSampRate=30000\nx=1")
+    (tmp_path / "m" / "2.meta").write_text("nSavedChans=many")
+    got = {r.path.rsplit("/", 1)[-1]: (r.n_channels, r.sample_rate) for r in files.recording_meta(spark, str(tmp_path / "m")).collect()}
+    assert got == {"1.meta": (385, 30000.0), "2.meta": (0, 0.0)}
+    (tmp_path / "e.csv").write_text("server,path,bytes,band,subject,date,session,has_cbin,cbin_bytes,has_ch,has_meta,n_channels,sample_rate_hz,implied_seconds,error\nS,p,,ap,s,,1,True,,,,,,,\n")
+    row = files.ephys_census(spark, str(tmp_path / "e.csv")).first()
+    assert (row.bytes, row.has_cbin, row.has_ch, row.sample_rate_hz) == (0, True, False, 0.0)
+    records = spark.createDataFrame([("Y:\\A\\b.tar", (True, [("m", True), ("n", False)])), ("c.tar", (False, [("m", True)]))], "archive string, record struct<all_verified:boolean,discardable:array<struct<member:string,verified:boolean>>>")
+    assert [r.member for r in files.verified_members(records, "y:/a/B.tar").collect()] == ["m"] and files.verified_members(records, "c.tar").count() == 0
+    (tmp_path / "violet").mkdir()
+    np.save(tmp_path / "violet" / "meanImage.npy", np.zeros((4, 5)))
+    assert files.first_shape(spark, str(tmp_path)) == (4, 5) and files.first_shape(spark, str(tmp_path / "violet")) is None
+
+
+def test_census_of_archives(spark, tmp_path):
+    path = raw_tar(tmp_path / "s.tar", stack(4, shift=4), names=[f"1/frame-{k}" for k in range(4)])
+    (tmp_path / "bad.tar").write_bytes(b"x" * 2000)
+    rows = {r.path: r for r in container.census(spark, "S", str(tmp_path), shape=(40, 48)).collect()}
+    assert (rows[path].kind, rows[path]["shift"], rows[path].rows, rows[path].est_frames >= 4) == ("frame-N", 4, 40, True) and rows[path].maxval % 16 == 0 < rows[path].maxval
+    assert rows[str(tmp_path / "bad.tar")].kind == "ERROR"
+    os.symlink(path, tmp_path / "link.tar")
+    assert container.same_place(path, str(tmp_path / "link.tar")) and not container.same_place(path, str(tmp_path / "bad.tar"))
