@@ -126,6 +126,21 @@ def days_needed(size: Column, mb_per_second: float) -> Column:
     return size / 1e6 / mb_per_second / 86_400
 
 
+def cost(size: Column, per_million: float) -> Column:
+    """What a size costs at a price for each million of its units."""
+    return size / 1e6 * per_million
+
+
+def old_enough(then: Column, now: Column, seconds: float) -> Column:
+    """Whether something was last written to at least so many seconds ago."""
+    return then <= now - F.make_dt_interval(secs=F.lit(seconds))
+
+
+def transient(path: Column, mark: str = ".partial-") -> Column:
+    """Whether a path is that of an unfinished file."""
+    return path.contains(mark)
+
+
 def recording_member(name: Column) -> Column:
     """(stem, trial, probe, bytes) of a listed member such as ``a/b_t0.imec0.ap.bin (12 bytes)``; null if it isn't one."""
     pattern = "([^/]+)_t([0-9]+)\\.imec([0-9]+)\\.ap\\.bin \\(([0-9,]+)"

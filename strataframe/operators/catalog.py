@@ -98,3 +98,68 @@ def siblings(df: DataFrame, group: list[str], key: str, name: str) -> DataFrame:
     """(key, ``name``): how many other rows of the group there are; groups with a null have none. Counted, not paired."""
     n = df.groupBy(*group).agg((F.count("*") - 1).alias(name))
     return df.join(n, group, "left").select(key, F.coalesce(name, F.lit(0)).alias(name))
+
+
+def conditional_counts(df: DataFrame, keys: list[str], **conditions: Column) -> DataFrame:
+    """Count by keys, and of the rows for which each condition holds."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n"), *[F.count_if(c).alias(name) for name, c in conditions.items()])
+
+
+def in_scope(df: DataFrame, kinds: tuple[str, list[str]] | None = None, size: str | None = None, least: float = 0, most: float | None = None) -> DataFrame:
+    """Rows of the wanted kinds whose size is above 0 and from ``least`` to ``most``."""
+    out = df if kinds is None else df.where(F.col(kinds[0]).isin(kinds[1]))
+    if size is not None:
+        out = out.where((F.col(size) > 0) & (F.col(size) >= least))
+        out = out if most is None else out.where(F.col(size) <= most)
+    return out
+
+
+def all_of(groups: DataFrame, members: DataFrame, key: str, condition: Column, name: str) -> DataFrame:
+    """(key, ``name``): whether a group has members and the condition holds for all of them; null counts as not."""
+    held = members.groupBy(key).agg(F.bool_and(F.coalesce(condition, F.lit(False))).alias(name))
+    return groups.join(held, key, "left").select(key, F.coalesce(name, F.lit(False)).alias(name))
+
+
+def presence(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """(n, present, percent): how many rows have a companion."""
+    rows = with_companion(df, other, key, "_there")
+    return rows.agg(F.count("*").alias("n"), F.count_if("_there").alias("present")).withColumn("percent", F.round(100.0 * F.col("present") / F.nullif("n", F.lit(0)), 4))
+
+
+def with_companion(df: DataFrame, other: DataFrame, key: str, name: str) -> DataFrame:
+    """Adds whether ``other`` has a row of that key; a null key has none. ``other`` is reduced to its keys first."""
+    there = other.select(key).distinct().withColumn(name, F.lit(True))
+    return df.join(there, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
+
+def slots(df: DataFrame, position: str, first: int, stop: int) -> DataFrame:
+    """Rows of the range [first, stop) with the slot each is written to."""
+    return df.where((F.col(position) >= first) & (F.col(position) < stop)).withColumn("slot", F.col(position) - first)
+
+
+def first_break(df: DataFrame, group: list[str], position: str, broken: Column) -> DataFrame:
+    """The first position of each group at which ``broken`` holds; null if at none."""
+    return df.groupBy(*group).agg(F.min(F.when(broken, F.col(position))).alias("first_break"))
+
+
+def member_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Keys that only one side has: (key, only_b, only_a)."""
+    x, y = a.select(key).distinct().withColumn("_a", F.lit(True)), b.select(key).distinct().withColumn("_b", F.lit(True))
+    both = x.join(y, key, "full").where("_a is null or _b is null")
+    return both.select(key, F.col("_a").isNull().alias("only_b"), F.col("_b").isNull().alias("only_a"))
+
+
+def corrected_total(df: DataFrame, size: str, left_out: Column, name: str) -> DataFrame:
+    """Total without the rows that are left out, in one pass."""
+    return df.agg(F.sum(F.when(~F.coalesce(left_out, F.lit(False)), F.col(size))).cast("long").alias(name))
+
+
+def distinct_sizes(df: DataFrame, group: list[str], size: str, shown: int = 4) -> DataFrame:
+    """(group, sizes, uniform, some): how many sizes there are, whether it is one at most, and up to ``shown`` of them."""
+    sizes = df.where(F.col(size).isNotNull()).select(*group, size).distinct()
+    return sizes.groupBy(*group).agg(F.count("*").alias("sizes"), (F.count("*") <= 1).alias("uniform"), F.slice(F.sort_array(F.collect_list(size)), 1, shown).alias("some"))
+
+
+def distinct_counts(df: DataFrame, keys: list[str], **columns: str) -> DataFrame:
+    """How many different values each column has by keys; nulls count nothing."""
+    return df.groupBy(*keys).agg(*[F.count_distinct(c).alias(name) for name, c in columns.items()])

@@ -59,3 +59,13 @@ def coverage_pick(df: DataFrame, chosen: DataFrame, strata: list[str], key: str,
 def missing_strata(whole: DataFrame, part: DataFrame, strata: list[str]) -> DataFrame:
     """Strata of ``whole`` that ``part`` has no row of."""
     return whole.select(*strata).distinct().join(part.select(*strata).distinct(), strata, "left_anti")
+
+
+def top(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows by ``order`` (a column with - before it descends), by a heap in each task."""
+    return df.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]).limit(n)
+
+
+def stride_sample(df: DataFrame, position: str, stride: int, n: int) -> DataFrame:
+    """Every ``stride``-th position, up to ``n`` of them."""
+    return df.where(F.col(position) % stride == 0).orderBy(position).limit(n)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import scalars as S
 from strataframe.operators import catalog as C
+from strataframe.operators import frames as X
 from strataframe.operators import ordered as O
 from strataframe.operators import picks as K
 
@@ -24,21 +25,6 @@ def query(sql: str | None = None):
     return keep
 
 
-def both(name: str, sql: str, oracle: str | None = None) -> None:
-    """A query that is the same SQL text in both engines; tables in braces."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        used = {t: read(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql}
-        return spark.sql(sql, **used)
-
-    run.__name__ = name
-    QUERIES[name] = run
-    ORACLE[name] = oracle or sql.format(**{t: t for t in TABLES})
-
-
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -77,7 +63,10 @@ def a7_pooled_ratio(spark, d):
     return C.pooled_ratio(read(spark, d, "lineitem"), ["l_returnflag"], F.round(F.col("l_extendedprice") * 100).cast("long"), F.col("l_quantity").cast("long"))
 
 
-both("a8_conditional_counts", "select l_shipmode_like, count(*) n, sum(case when l_discount > 0.05 then 1 else 0 end) discounted, sum(case when l_tax = 0 then 1 else 0 end) untaxed from (select *, concat(l_returnflag, l_linestatus) l_shipmode_like from {lineitem}) t group by l_shipmode_like", "select concat(l_returnflag, l_linestatus) l_shipmode_like, count(*) n, count(*) filter (l_discount > 0.05) discounted, count(*) filter (l_tax = 0) untaxed from lineitem group by 1")
+@query('select concat(l_returnflag, l_linestatus) l_shipmode_like, count(*) n, count(*) filter (l_discount > 0.05) discounted, count(*) filter (l_tax = 0) untaxed from lineitem group by 1')
+def a8_conditional_counts(spark, d):
+    rows = read(spark, d, "lineitem").withColumn("l_shipmode_like", F.concat("l_returnflag", "l_linestatus"))
+    return C.conditional_counts(rows, ["l_shipmode_like"], discounted=F.col("l_discount") > 0.05, untaxed=F.col("l_tax") == 0)
 
 
 @query(f"select o_orderpriority, min({CENTS_SQL}) smallest, max({CENTS_SQL}) largest, arg_max(o_orderkey, {CENTS_SQL} * 1000000000 - o_orderkey) largest_key from orders group by 1")
@@ -112,7 +101,10 @@ def a13_event_rollup(spark, d):
     return C.rollup(e.withColumn("event", F.when(F.col("t"), "transient").otherwise(F.col("event_type"))), ["event"], size)
 
 
-both("a14_reason_histogram", "select substring(p_type, 1, 4) reason, count(*) n from {part} where p_size > 10 group by substring(p_type, 1, 4)")
+@query('select substring(p_type, 1, 4) reason, count(*) n from part where p_size > 10 group by substring(p_type, 1, 4)')
+def a14_reason_histogram(spark, d):
+    p = read(spark, d, "part").where("p_size > 10")
+    return C.conditional_counts(p.withColumn("reason", F.substring("p_type", 1, 4)), ["reason"])
 
 
 @query("""select case when a <= 7 then '<=7' when a <= 30 then '<=30' when a <= 90 then '<=90' when a <= 365 then '<=365' else '>365' end bucket, count(*) n from
@@ -122,7 +114,10 @@ def a15_age_buckets(spark, d):
     return read(spark, d, "orders").groupBy(S.age_bucket(days).alias("bucket")).agg(F.count("*").alias("n"))
 
 
-both("a16_distinct_counts", "select l_returnflag, count(distinct l_suppkey) suppliers, count(distinct l_quantity) quantities from {lineitem} group by l_returnflag")
+@query("select l_returnflag, count(distinct l_suppkey) suppliers, count(distinct l_quantity) quantities from lineitem group by l_returnflag")
+def a16_distinct_counts(spark, d):
+    return C.distinct_counts(read(spark, d, "lineitem"), ["l_returnflag"], suppliers="l_suppkey", quantities="l_quantity")
+
 
 
 @query("select regexp_extract(url, '^https?://([^/]+)', 1) host, sum(octet_length(encode(html)))::bigint total_bytes, count(*) n, max(page_id) newest, min(page_id) oldest from pages group by 1")
@@ -131,10 +126,25 @@ def a17_directory_rollup(spark, d):
     return p.groupBy("host").agg(F.sum(F.octet_length("html")).cast("long").alias("total_bytes"), F.count("*").alias("n"), F.max("page_id").alias("newest"), F.min("page_id").alias("oldest"))
 
 
-both("a18_total_of_kinds", "select count(*) n, sum(p_size) total_bytes from {part} where p_brand in ('Brand#1', 'Brand#2')", "select count(*) n, sum(p_size)::bigint total_bytes from part where p_brand in ('Brand#1', 'Brand#2')")
-both("a19_all_verified", "select c.c_custkey, count(o.o_orderkey) > 0 and coalesce(min(case when o.o_orderstatus = 'F' then 1 else 0 end), 0) = 1 all_verified from {customer} c left join {orders} o on c.c_custkey = o.o_custkey group by c.c_custkey")
-both("a26_cost_projection", "select round(sum(o_totalprice) / 1e6 / 86.7 / 86400, 9) days_needed, round(sum(o_totalprice) / 1e6 * 6.0, 2) cost from {orders}")
-both("a27_storage_status", "select count(*) n, count(l.doc_id) present, round(100.0 * count(l.doc_id) / count(*), 4) percent from {documents} d left join {labels} l on d.doc_id = l.doc_id")
+@query("select count(*) n, sum(p_size)::bigint total_bytes from part where p_brand in ('Brand#1', 'Brand#2')")
+def a18_total_of_kinds(spark, d):
+    return C.rollup(C.in_scope(read(spark, d, "part"), kinds=("p_brand", ["Brand#1", "Brand#2"])), [], F.col("p_size"))
+
+
+@query("select c.c_custkey, count(o.o_orderkey) > 0 and coalesce(min(case when o.o_orderstatus = 'F' then 1 else 0 end), 0) = 1 all_verified from customer c left join orders o on c.c_custkey = o.o_custkey group by c.c_custkey")
+def a19_all_verified(spark, d):
+    return C.all_of(read(spark, d, "customer").select("c_custkey"), read(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", F.col("o_orderstatus") == "F", "all_verified")
+
+
+@query('select round(sum(o_totalprice) / 1e6 / 86.7 / 86400, 9) days_needed, round(sum(o_totalprice) / 1e6 * 6.0, 2) cost from orders')
+def a26_cost_projection(spark, d):
+    total = read(spark, d, "orders").agg(F.sum("o_totalprice").alias("t"))
+    return total.select(F.round(S.days_needed(F.col("t"), 86.7), 9).alias("days_needed"), F.round(S.cost(F.col("t"), 6.0), 2).alias("cost"))
+
+
+@query('select count(*) n, count(l.doc_id) present, round(100.0 * count(l.doc_id) / count(*), 4) percent from documents d left join labels l on d.doc_id = l.doc_id')
+def a27_storage_status(spark, d):
+    return C.presence(read(spark, d, "documents").select("doc_id"), read(spark, d, "labels"), "doc_id")
 
 
 @query("""select case when url ~ '/[a-z]{2}/[0-9]+' then 'numbered' when url like 'https%' then 'secure' when url like '%ref=%' then 'referred' else 'other' end kind, count(*) n from pages group by 1""")
@@ -144,8 +154,17 @@ def p1_classify(spark, d):
     return read(spark, d, "pages").groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
-both("p2_in_scope", "select p_partkey, p_size from {part} where p_type in ('ECONOMY', 'STANDARD') and p_size > 0")
-both("p3_work_list", "select o_orderkey, o_totalprice from {orders} where o_orderstatus = 'F' and o_totalprice between 1000 and 200000 and o_orderpriority in ('1-URGENT', '2-HIGH')")
+@query("select p_partkey, p_size from part where p_type in ('ECONOMY', 'STANDARD') and p_size > 0")
+def p2_in_scope(spark, d):
+    return C.in_scope(read(spark, d, "part"), kinds=("p_type", ["ECONOMY", "STANDARD"]), size="p_size").select("p_partkey", "p_size")
+
+
+@query("select o_orderkey, o_totalprice from orders where o_orderstatus = 'F' and o_totalprice between 1000 and 200000 and o_orderpriority in ('1-URGENT', '2-HIGH')")
+def p3_work_list(spark, d):
+    rows = read(spark, d, "orders").where("o_orderstatus = 'F'")
+    return C.in_scope(rows, kinds=("o_orderpriority", ["1-URGENT", "2-HIGH"]), size="o_totalprice", least=1000, most=200_000).select("o_orderkey", "o_totalprice")
+
+
 _NAMED = "(select p_partkey, case p_partkey % 4 when 0 then p_name || '.ap.bin' when 1 then p_name || '.lf.bin' when 2 then p_name || '.nidq.bin' else p_name end n from part)"
 
 
@@ -183,9 +202,23 @@ def p6_skip_ladder(spark, d):
     size = F.when(k % 11 == 0, F.lit(None)).when(k % 17 == 0, F.lit(0)).otherwise(F.col("p_size") * 770 + k % 3 * 385)
     reason = S.skip_reason(size.cast("long"), k % 5 == 0, F.when(k % 7 != 0, F.lit(True)), F.when(k % 13 == 0, 0).otherwise(385), F.lit(30000.0))
     return read(spark, d, "part").select("p_partkey", reason.alias("reason"))
-both("p7_companions", "select d.doc_id, d.doc_id in (select doc_id from {labels}) has_label from {documents} d")
-both("p8_min_age", "select event_id from {events} where ts <= timestamp '2024-01-10 00:00:00'")
-both("p10_transient", "select page_id from {pages} where url like '%ref=%' and url not like '%.partial-%'")
+
+@query('select d.doc_id, d.doc_id in (select doc_id from labels) has_label from documents d')
+def p7_companions(spark, d):
+    return C.with_companion(read(spark, d, "documents").select("doc_id"), read(spark, d, "labels"), "doc_id", "has_label")
+
+
+@query("select event_id from events where ts <= timestamp '2024-01-10 00:00:00'")
+def p8_min_age(spark, d):
+    now = F.to_timestamp(F.lit("2024-01-10 01:00:00"))
+    return read(spark, d, "events").where(S.old_enough(F.col("ts"), now, 3600)).select("event_id")
+
+
+@query("select page_id from pages where url like '%ref=%' and url not like '%.partial-%'")
+def p10_transient(spark, d):
+    return read(spark, d, "pages").where(S.transient(F.col("url"), "ref=") & ~S.transient(F.col("url"))).select("page_id")
+
+
 @query("select p_partkey, p_partkey % 3 = 0 and (p_size % 7 = 0 or p_partkey % 10 = 0) blocked from part")
 def p13_blocked_geometry(spark, d):
     """Every third part stands for headerless frames; some have no rows, some no columns."""
@@ -206,7 +239,10 @@ def w3_latest_valid(spark, d):
     return w2_latest_success(spark, d).where("value > 20").select("user_id", "event_id")
 
 
-both("w4_recent_check", "select user_id, max(event_id) event_id from {events} where event_type = 'purchase' and value > 5 and ts >= timestamp '2024-01-20 00:00:00' group by user_id")
+@query("select user_id, max(event_id) event_id from events where event_type = 'purchase' and value > 5 and ts >= timestamp '2024-01-20 00:00:00' group by user_id")
+def w4_recent_check(spark, d):
+    e = read(spark, d, "events").where("event_type = 'purchase' and value > 5 and ts >= timestamp '2024-01-20 00:00:00'")
+    return C.latest(e.select("user_id", "event_id"), ["user_id"], ["event_id"])
 
 
 @query("select p_brand, p_type, p_partkey, p_size from (select *, row_number() over (partition by p_brand, p_type order by p_size, p_partkey) r from part) where r = 1")
@@ -222,8 +258,14 @@ def w7_spans(spark, d):
     return O.spans(read(spark, d, "documents"), ["source"], "doc_id", 4)
 
 
-both("w8_slots", "select doc_id, doc_id - 100 slot from {documents} where doc_id >= 100 and doc_id < 400")
-both("w10_first_break", "select min(p_partkey) first_break from {part} where p_size > 45")
+@query('select doc_id, doc_id - 100 slot from documents where doc_id >= 100 and doc_id < 400')
+def w8_slots(spark, d):
+    return C.slots(read(spark, d, "documents").select("doc_id"), "doc_id", 100, 400)
+
+
+@query('select min(p_partkey) first_break from part where p_size > 45')
+def w10_first_break(spark, d):
+    return C.first_break(read(spark, d, "part"), [], "p_partkey", F.col("p_size") > 45)
 
 
 @query("select source, doc_id, (16 + coalesce(sum(n_chars) over (partition by source order by doc_id rows between unbounded preceding and 1 preceding), 0))::bigint as offset from documents")
@@ -246,15 +288,27 @@ def t1_sorted_work(spark, d):
     return O.ranked(o, ["o_orderpriority"], "less", "place", ["o_orderkey"]).select("o_orderkey", "o_totalprice", (F.col("place") + 1).alias("place"))
 
 
-both("t2_limit_after_filter", "select o_orderkey from {orders} where o_orderstatus = 'F' order by o_totalprice, o_orderkey limit 50")
+@query("select o_orderkey from orders where o_orderstatus = 'F' order by o_totalprice, o_orderkey limit 50")
+def t2_limit_after_filter(spark, d):
+    return K.top(read(spark, d, "orders").where("o_orderstatus = 'F'"), ["o_totalprice", "o_orderkey"], 50).select("o_orderkey")
+
+
 @query("select o_orderkey from (select o_orderkey, sum(cast(round(o_totalprice * 100) as bigint)) over (order by o_orderkey) - cast(round(o_totalprice * 100) as bigint) b from orders) where b < 5000000000")
 def t3_cumulative_stop(spark, d):
     return K.cumulative_stop(read(spark, d, "orders").select("o_orderkey", cents().alias("c")), "o_orderkey", "c", 5_000_000_000).select("o_orderkey")
-both("t4_top_n", "select c_custkey, c_acctbal from {customer} order by c_acctbal desc, c_custkey limit 20")
+
+@query('select c_custkey, c_acctbal from customer order by c_acctbal desc, c_custkey limit 20')
+def t4_top_n(spark, d):
+    return K.top(read(spark, d, "customer").select("c_custkey", "c_acctbal"), ["-c_acctbal", "c_custkey"], 20)
+
+
 @query("select c_custkey, c_name, c_acctbal from customer order by c_acctbal, c_custkey limit 1")
 def t5_min_by(spark, d):
     return K.smallest(read(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), "c_acctbal", ["c_custkey"])
-both("t10_stride_sample", "select doc_id from {documents} where doc_id % 20 = 0 order by doc_id limit 40")
+
+@query('select doc_id from documents where doc_id % 20 = 0 order by doc_id limit 40')
+def t10_stride_sample(spark, d):
+    return K.stride_sample(read(spark, d, "documents").select("doc_id"), "doc_id", 20, 40)
 
 
 @query("select text, min(doc_id) doc_id from documents group by text")
@@ -272,7 +326,11 @@ def u2_union_logs(spark, d):
 def u3_missing_strata(spark, d):
     p = read(spark, d, "part").select("p_brand", "p_type", "p_size", "p_partkey")
     return K.missing_strata(p, p.where("p_size > 25 and p_partkey % 4 = 0"), ["p_brand", "p_type"])
-both("u5_member_difference", "select coalesce(a.doc_id, b.doc_id) doc_id, a.doc_id is null only_b, b.doc_id is null only_a from (select doc_id from {documents} where doc_id % 3 <> 0) a full join (select doc_id from {documents} where doc_id % 4 <> 0) b on a.doc_id = b.doc_id where a.doc_id is null or b.doc_id is null")
+
+@query('select coalesce(a.doc_id, b.doc_id) doc_id, a.doc_id is null only_b, b.doc_id is null only_a from (select doc_id from documents where doc_id % 3 <> 0) a full join (select doc_id from documents where doc_id % 4 <> 0) b on a.doc_id = b.doc_id where a.doc_id is null or b.doc_id is null')
+def u5_member_difference(spark, d):
+    ids = read(spark, d, "documents").select("doc_id")
+    return C.member_difference(ids.where("doc_id % 3 <> 0"), ids.where("doc_id % 4 <> 0"), "doc_id")
 
 
 @query("select lang, array_to_string(list_slice(list_sort(list_distinct(list(source))), 1, 6), ' | ') sources from documents group by 1")
@@ -285,8 +343,16 @@ def j1_remaining_work(spark, d):
     return C.remaining(read(spark, d, "documents").select("doc_id"), read(spark, d, "labels"), ["doc_id"])
 
 
-both("j2_todo_not_done", "select o.o_orderkey from {orders} o where not exists (select 1 from {lineitem} l where l.l_orderkey = o.o_orderkey and l.l_quantity > 45)")
-both("j3_unlogged_outputs", "select distinct lower(p.p_name) name from {part} p where not exists (select 1 from {part} q where lower(q.p_name) = lower(p.p_name) and q.p_size = 50)")
+@query('select o.o_orderkey from orders o where not exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_quantity > 45)')
+def j2_todo_not_done(spark, d):
+    done = read(spark, d, "lineitem").where("l_quantity > 45").withColumnRenamed("l_orderkey", "o_orderkey")
+    return C.remaining(read(spark, d, "orders").select("o_orderkey"), done, ["o_orderkey"])
+
+
+@query('select distinct lower(p.p_name) name from part p where not exists (select 1 from part q where lower(q.p_name) = lower(p.p_name) and q.p_size = 50)')
+def j3_unlogged_outputs(spark, d):
+    p = read(spark, d, "part").select(S.canonical_path(F.col("p_name")).alias("name"), "p_size")
+    return C.remaining(p.select("name").distinct(), p.where("p_size = 50"), ["name"])
 
 
 @query("""select d.doc_id, case when l.doc_id is null then 'no receipt' when l.quality <> 1 then 'not verified' when l.toxic = 1 then 'flagged' when d.n_chars < 200 then 'too small' else 'accepted' end verdict
@@ -316,7 +382,13 @@ def j8_first_segment(spark, d):
     return segments.join(top, F.lower("seg") == F.col("key")).groupBy("page_id").agg(F.min_by("n_nationkey", "pos").alias("n_nationkey"))
 
 
-both("j10_key_rewrite", "select s_suppkey, concat('bucket/', lower(s_name)) object_key, n_name from {supplier} s join {nation} n on s.s_nationkey = n.n_nationkey")
+@query("select s_suppkey, concat('bucket/', lower(s_name)) object_key, n_name from supplier s join nation n on s.s_nationkey = n.n_nationkey")
+def j10_key_rewrite(spark, d):
+    s = read(spark, d, "supplier").withColumn("path", F.concat(F.lit("Z:/Bucket/"), F.lower("s_name")))
+    n = read(spark, d, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
+    return s.join(n, "s_nationkey").select("s_suppkey", S.object_key(F.col("path"), "bucket").alias("object_key"), "n_name")
+
+
 @query("select p.page_id, count(q.page_id) siblings from pages p left join pages q on split_part(p.url, '/', 4) = split_part(q.url, '/', 4) and split_part(p.url, '/', 3) = split_part(q.url, '/', 3) and p.page_id <> q.page_id group by p.page_id")
 def j11_sibling(spark, d):
     part = lambda k: F.split_part("url", F.lit("/"), F.lit(k))
@@ -324,10 +396,20 @@ def j11_sibling(spark, d):
     return C.siblings(p, ["host", "folder"], "page_id", "siblings")
 
 
-both("j16_corrected_totals", "select (select sum(p_size) from {part}) - (select sum(p_size) from {part} where p_type = 'PROMO') kept_bytes", "select ((select sum(p_size) from part) - (select sum(p_size) from part where p_type = 'PROMO'))::bigint kept_bytes")
+@query("select ((select sum(p_size) from part) - (select sum(p_size) from part where p_type = 'PROMO'))::bigint kept_bytes")
+def j16_corrected_totals(spark, d):
+    return C.corrected_total(read(spark, d, "part"), "p_size", F.col("p_type") == "PROMO", "kept_bytes")
+
+
+@query('select p_brand, count(distinct p_size) sizes, count(distinct p_size) <= 1 uniform from part group by p_brand')
+def g7_preflight(spark, d):
+    return C.distinct_sizes(read(spark, d, "part"), ["p_brand"], "p_size").select("p_brand", "sizes", "uniform")
+
 
-both("g7_preflight", "select p_brand, count(distinct p_size) sizes, count(distinct p_size) <= 1 uniform from {part} group by p_brand")
-both("r1_resume", "select o.o_orderkey from {orders} o left join (select distinct l_orderkey from {lineitem} where l_shipdate < timestamp '1998-01-01 00:00:00') l on l.l_orderkey = o.o_orderkey where l.l_orderkey is null")
+@query("select o.o_orderkey from orders o left join (select distinct l_orderkey from lineitem where l_shipdate < timestamp '1998-01-01 00:00:00') l on l.l_orderkey = o.o_orderkey where l.l_orderkey is null")
+def r1_resume(spark, d):
+    done = read(spark, d, "lineitem").where("l_shipdate < timestamp '1998-01-01 00:00:00'").withColumnRenamed("l_orderkey", "o_orderkey")
+    return C.remaining(read(spark, d, "orders").select("o_orderkey"), done, ["o_orderkey"])
 
 
 @query("select doc_id, ((n_chars + 511) // 512 * 512)::bigint padded, ((512 - n_chars % 512) % 512)::bigint padding from documents")
@@ -335,7 +417,9 @@ def f2_padding(spark, d):
     return read(spark, d, "documents").select("doc_id", S.padded(F.col("n_chars")).alias("padded"), S.padding(F.col("n_chars")).alias("padding"))
 
 
-both("f6_bits", "select p_partkey, length(bin(p_size)) bits from {part} where p_size > 0", "select p_partkey, length(bin(p_size)) bits from part where p_size > 0")
+@query('select p_partkey, length(bin(p_size)) bits from part where p_size > 0')
+def f6_bits(spark, d):
+    return read(spark, d, "part").where("p_size > 0").select("p_partkey", X.bit_length(F.col("p_size")).alias("bits"))
 
 
 @query("select s_suppkey, round(s_acctbal * 1000 / (385 * 30000.0 * 2), 9) secs from supplier where s_acctbal > 0")
