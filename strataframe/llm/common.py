@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: spark.checkpoint.dir.
 
-    Where the session names none (a test on one machine) a temporary folder is made and set.
+    Where the session names none, and all runs on one machine (tests), a temporary folder is made and set.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -26,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="strataframe-"))
     return context.getCheckpointDir()
 
@@ -52,6 +57,14 @@ def cut(df: DataFrame, forget_size: bool = False) -> DataFrame:
     return DataFrame(session._jsparkSession.internalCreateDataFrame(held.queryExecution().toRdd(), held.schema(), False), session)
 
 
+def tidy() -> None:
+    """Gives memory back that earlier tasks of this Python worker have freed; workers go on from stage to stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no such function outside glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -4,15 +4,13 @@ A text is its lower-cased words, whatever white space and line feeds stand betwe
 are hashed where the text itself says so: at each word whose pair with the next has the least hash among some ``SPAN``
 neighbouring words, and at both ends of the text. As that depends on words of the passage only, every passage of
 ``min_words + SPAN - 1`` words or more that stands in two texts has a window that both hash, wherever it begins, in any
-case and over line feeds; all of it but at most ``SPAN - 1`` words at each end is covered. Each whole line is hashed too, of
-any length. The digests of all documents are grouped; the occurrence in the document with the smallest identifier (and
+case and over line feeds; all of it but at most ``SPAN - 1`` words at each end is covered. Each line of ``min_line`` words
+or more is hashed as a whole too. The digests of all documents are grouped; the occurrence in the document with the smallest identifier (and
 there the first; occurrences that overlap it don't count) stays, all others are removed: lines with their line feed, and
 the words of windows. What is removed is kept as offsets (code points) into the original text.
 
-Scale: each document sends a digest once; digests are pre-aggregated to (smallest id, largest id, count) before the
-shuffle, so a line that a third of all documents share is a few rows. Only digests of two or more documents go back to
-the documents: by a broadcast if there are at most ``broadcast_rows`` of them; otherwise the frequent ones (of which
-there can be few) by a broadcast and the others by a shuffle in which no key is frequent.
+Scale: each document sends a digest once, to where all rows of the digest meet; only repeats go on, back to their
+documents. A digest that a task meets very often is dealt to several places from then on, so no task gets all its rows.
 
 Cases: null and empty texts have no words and stay as they are. A null identifier ranks first. Rows with one identifier
 don't count as repeats of each other, so repeated rows are all treated like the first of them. Texts of any length are
@@ -27,17 +25,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, fresh
+from .common import cut, fresh, tidy
 from .shingles import mix
 
 MIN_WORDS = 25
 #: Among so many neighbouring words at least one begins a window.
 SPAN = 10
-BROADCAST_ROWS = 500_000
+#: Fewest words of a line that is hashed as a whole: shorter ones (headings, greetings, items) repeat without being copied.
+MIN_LINE = 10
+#: A digest that a task has met so often is dealt to so many places.
+LOCAL, SALTS = 16, 64
+_FREQUENT_BITS = 21
 _WORD = re.compile(r"\S+")
 _NULL_ID = -(1 << 63)
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD95)
@@ -48,7 +50,7 @@ class Words(dict):
     """Word -> 16 bytes of hash of its lower case; remembered up to a bound."""
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         value = xxhash.xxh3_128_digest(word.lower().encode("utf-8", "surrogatepass"))
         if len(word) <= 64:
@@ -97,8 +99,8 @@ def window_starts(first: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(begins[: n - width + 1])
 
 
-def digests(text: str | None, min_words: int, words: Words, powers: Powers) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, word after the last) of each line, first words of the windows, and the two parts of the digests of the lines that have words and then of the windows."""
+def digests(text: str | None, min_words: int, min_line: int, words: Words, powers: Powers) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, word after the last) of each line, first words of the windows, and the two parts of the digests of the lines of ``min_line`` words or more and then of the windows."""
     found, bounds = [], []
     for line in (text or "").split("\n"):
         bounds.append((len(found), len(found)))
@@ -113,17 +115,17 @@ def digests(text: str | None, min_words: int, words: Words, powers: Powers) -> t
     sums = np.zeros((n + 1, 2), np.uint64)
     np.cumsum(hashes * up[:n], axis=0, out=sums[1:])
     begins = window_starts(hashes[:, 0], min_words)
-    lines = np.array([x for x in bounds if x[0] < x[1]], np.int64)
+    lines = np.array([x for x in bounds if x[1] - x[0] >= min_line], np.int64).reshape(-1, 2)
     a, b = np.concatenate([lines[:, 0], begins]), np.concatenate([lines[:, 1], begins + min_words])
     value = mix((sums[b] - sums[a]) * down[a])
     return bounds, begins, value[:, 0].astype(np.int64), value[:, 1].astype(np.uint32).view(np.int32)
 
 
-def remove(text: str, foreign: set[tuple[int, int]], min_words: int, words: Words, powers: Powers) -> tuple[str, list[tuple[int, int]]]:
+def remove(text: str, foreign: set[tuple[int, int]], min_words: int, min_line: int, words: Words, powers: Powers) -> tuple[str, list[tuple[int, int]]]:
     """The text that stays and the removed spans. foreign: digests that a document of smaller identifier has."""
-    bounds, begins, high, low = digests(text, min_words, words, powers)
+    bounds, begins, high, low = digests(text, min_words, min_line, words, powers)
     keys = list(zip(high.tolist(), low.tolist(), strict=True))
-    filled = [x for x in bounds if x[0] < x[1]]
+    filled = [x for x in bounds if x[1] - x[0] >= min_line]
     gone = np.zeros(bounds[-1][1], bool)
     seen: set[tuple[int, int]] = set()
     for (a, b), key in zip(filled, keys, strict=False):
@@ -153,50 +155,75 @@ def remove(text: str, foreign: set[tuple[int, int]], min_words: int, words: Word
     return "".join(kept) + text[done:], spans
 
 
-def _digest_rows(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """Rows (h1, h2, id): each digest of each document once."""
+class Frequent:
+    """Keys that this task has met ``LOCAL`` times before: counters of fixed size choose those worth an exact count."""
+
+    def __init__(self) -> None:
+        self.table = np.zeros(1 << _FREQUENT_BITS, np.uint32)
+        self.exact: dict[int, int] = {}
+
+    def flags(self, keys: np.ndarray, local: int) -> np.ndarray:
+        at = (mix(keys.view(np.uint64)) >> np.uint64(64 - _FREQUENT_BITS)).astype(np.int64)
+        worth = np.flatnonzero(self.table[at] >= local)
+        np.add.at(self.table, at, np.uint32(1))
+        out = np.zeros(len(keys), bool)
+        chosen = keys[worth].tolist()
+        out[worth] = [self.exact.get(k, 0) >= local for k in chosen]
+        for k in chosen:
+            self.exact[k] = self.exact.get(k, 0) + 1
+        return out
+
+
+def _digest_rows(df: DataFrame, id_col: str, text_col: str, min_words: int, min_line: int, local: int) -> DataFrame:
+    """Rows (h1, h2, id, place): each digest of each document once.
+
+    place: 0; 1 to ``SALTS`` by identifier for digests that the task has met ``local`` times at place 0; -1 in a row of its own
+    for a document that repeats something of its own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, powers = Words(), Powers()
-        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        held = 0
-
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["h1", "h2", "id"])
-
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                _, _, high, low = digests(text.as_py(), min_words, words, powers)
-                _, at = np.unique(high, return_index=True)  # two digests of one text that share 64 bits are taken for one
-                parts.append((high[at], low[at], np.full(len(at), key, np.int64)))
-                held += len(at)
-                if held > 100_000:
-                    yield made()
-                    parts, held = [], 0
-        if parts:
-            yield made()
+        tidy()
+        words, powers, frequent = Words(), Powers(), Frequent()
+        for whole in batches:
+            for k in range(0, whole.num_rows, 100):
+                highs, lows, ids, own = [], [], [], []
+                for key, text in zip(whole.column(0).slice(k, 100).to_pylist(), whole.column(1).slice(k, 100), strict=True):
+                    _, _, high, low = digests(text.as_py(), min_words, min_line, words, powers)
+                    unique, at = np.unique(high, return_index=True)  # two digests of one text that share 64 bits are taken for one
+                    if len(unique) < len(high):
+                        own.append(key)
+                    highs.append(unique)
+                    lows.append(low[at])
+                    ids.append(np.full(len(at), key, np.int64))
+                high, low, of = (np.concatenate(x) for x in (highs, lows, ids))
+                many = frequent.flags(high, local)
+                place = np.where(many, 1 + (mix(of.view(np.uint64)) % np.uint64(SALTS)).astype(np.int32), 0).astype(np.int32)
+                marks = np.array(own, np.int64)
+                arrays = [np.concatenate([high, marks]), np.concatenate([low, np.zeros(len(marks), np.int32)]), np.concatenate([of, marks]), np.concatenate([place, np.full(len(marks), -1, np.int32)])]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["h1", "h2", "id", "place"])
 
     picked = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "h1 long, h2 int, id long")
+    return picked.mapInArrow(run, "h1 long, h2 int, id long, place int")
+
+
+def _repeats(rows: DataFrame, local: int) -> DataFrame:
+    """Rows (h1, h2, id) of digests that a document of smaller identifier has, and a row for each mark.
+
+    The rows of a digest meet by place, and what isn't the smallest of its place is a repeat. A digest that a task has met
+    very often has rows at several places, and then at least ``local`` at place 0; the smallest of these places meet again.
+    """
+    at = Window.partitionBy("h1", "h2", "place")
+    met = rows.withColumns({"first": F.min("id").over(at), "n": F.count("*").over(at)})
+    again = (F.col("id") > F.col("first")) | (F.col("place") < 0)
+    held = cut(met.select("h1", "h2", "id", again.alias("again"), (~again & ((F.col("place") > 0) | (F.col("n") >= local))).alias("open")).where("again or open"))
+    mins = held.where("open").withColumn("first", F.min("id").over(Window.partitionBy("h1", "h2"))).where("id > first")
+    return held.where("again").select("h1", "h2", "id").unionByName(mins.select("h1", "h2", "id"))
 
 
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_line: int = MIN_LINE, local: int = LOCAL) -> DataFrame:
     """``df`` with repeats removed from ``text_col``, and ``removed_spans`` (begin and stop in the original) added."""
-    min_words = max(1, min_words)
-    cells = _digest_rows(df, id_col, text_col, min_words)
-    grouped = cells.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("found"))
-    shared = cut(grouped.where("first < last").select("h1", "h2", "first", "found"))
-    if (n := shared.count()) <= broadcast_rows:
-        again = cells.join(F.broadcast(shared.select("h1", "h2", "first")), ["h1", "h2"]).where("id > first")
-    else:
-        # the most frequent ones: as the count falls by half from limit to limit, at most broadcast_rows digests are taken
-        held = shared.agg(F.sum("found")).first()[0]
-        limit = max(1000, -(-held // max(1, min(n, broadcast_rows))))
-        hot = shared.where(F.col("found") >= limit).select("h1", "h2", F.col("first").alias("first_hot"))
-        marked = cells.join(F.broadcast(hot), ["h1", "h2"], "left")
-        frequent = marked.where("first_hot is not null and id > first_hot").select("h1", "h2", "id")
-        other = marked.where("first_hot is null").drop("first_hot").join(shared.where(F.col("found") < limit).drop("found").hint("shuffle_merge"), ["h1", "h2"]).where("id > first").select("h1", "h2", "id")
-        again = frequent.unionByName(other)
+    min_words, min_line = max(1, min_words), max(1, min_line)
+    again = _repeats(_digest_rows(df, id_col, text_col, min_words, min_line, local), local)
     key, got = fresh(df, "dedup_key"), fresh(df, "foreign_digests")
     foreign = again.groupBy(F.col("id").alias(key)).agg(F.collect_list(F.struct("h1", "h2")).alias(got))  # as many as a document has windows and lines
     joined = df.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))).join(foreign, key, "left").drop(key)
@@ -206,6 +233,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
     schema = T.StructType([*df.schema.fields, T.StructField(spans, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         words, powers = Words(), Powers()
         target = pa.list_(pa.struct([("begin", pa.int64()), ("stop", pa.int64())]))
         for whole in batches:
@@ -213,8 +241,9 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wor
                 batch = whole.slice(k, 1000)
                 texts, removed = [], []
                 for text, found in zip(batch.column(batch.schema.get_field_index(text_col)).to_pylist(), batch.column(batch.schema.get_field_index(got)), strict=True):
-                    foreign = {(x["h1"], x["h2"]) for x in found.as_py() or ()}
-                    text, out = remove(text, foreign, min_words, words, powers) if text else (text, [])
+                    out = []
+                    if text and found.is_valid:  # others repeat nothing
+                        text, out = remove(text, {(x["h1"], x["h2"]) for x in found.as_py()}, min_words, min_line, words, powers)
                     texts.append(text)
                     removed.append([{"begin": a, "stop": b} for a, b in out])
                 arrays = [pa.array(texts, batch.schema.field(c).type) if c == text_col else batch.column(batch.schema.get_field_index(c)) for c in kept]

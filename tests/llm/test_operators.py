@@ -312,11 +312,11 @@ def test_votes_that_agree_part_the_classes():
 def test_passages_go_and_offsets_hold(spark):
     passage = "The " + " ".join(f"p{i}" for i in range(60)) + "."
     texts = ["Head of one. " + passage, "other words here " + passage + " and more words after it", "Line\nalone here", "Line\nnew text", None, ""]
-    got = {r.doc_id: r for r in substring_dedup.dedup(table(spark, texts)).collect()}
+    got = {r.doc_id: r for r in substring_dedup.dedup(table(spark, texts), min_line=1).collect()}
     assert got[0].text == texts[0] and got[0].removed_spans == []
     assert passage[20:200] not in got[1].text and got[1].text.startswith("other words here") and "after it" in got[1].text
     assert got[3].text == "new text" and got[4].text is None and got[5].text == ""
-    forced = {r.doc_id: r.text for r in substring_dedup.dedup(table(spark, texts), hot=1).collect()}
+    forced = {r.doc_id: r.text for r in substring_dedup.dedup(table(spark, texts), min_line=1, local=1).collect()}
     assert forced == {k: r.text for k, r in got.items()}
     for i, r in got.items():
         kept, at = "", 0
@@ -432,7 +432,7 @@ def test_fingerprints_of_odd_rows(spark):
     assert weighted_fingerprint.with_edits(spark.createDataFrame([], schema), samples=8).count() == 0
 
 
-def plain_dedup(rows, min_words):
+def plain_dedup(rows, min_words, min_line):
     """(text, spans) of each row by the documented rule, with word tuples for digests."""
     cut = []
     for _, text in rows:
@@ -448,7 +448,7 @@ def plain_dedup(rows, min_words):
         cut.append((words, low, begins, lines))
     owner = {}
     for (key, _), (_, low, begins, lines) in zip(rows, cut, strict=True):
-        units = [tuple(low[a : a + min_words]) for a in begins] + [tuple(low[k] for k in x) for _, _, x in lines if x]
+        units = [tuple(low[a : a + min_words]) for a in begins] + [tuple(low[k] for k in x) for _, _, x in lines if len(x) >= min_line]
         for u in units:
             owner[u] = min(owner.get(u, 1 << 62), -(1 << 62) if key is None else key)
     out = []
@@ -456,9 +456,10 @@ def plain_dedup(rows, min_words):
         own, gone, seen, stays = (-(1 << 62) if key is None else key), set(), set(), {}
         for _, _, inside in lines:
             u = tuple(low[k] for k in inside)
-            if u and (owner[u] < own or u in seen):
-                gone |= set(inside)
-            seen.add(u)
+            if len(u) >= min_line:
+                if owner[u] < own or u in seen:
+                    gone |= set(inside)
+                seen.add(u)
         for a in begins:
             u = tuple(low[a : a + min_words])
             if owner[u] < own or stays.setdefault(u, a) + min_words <= a:
@@ -488,8 +489,8 @@ def xxhash_of(word):
     return int.from_bytes(xxhash.xxh3_128_digest(word.encode())[:8], "little")
 
 
-@pytest.mark.parametrize("hot", [10_000, 1])
-def test_substring_dedup_is_brute_force(spark, hot):
+@pytest.mark.parametrize(("local", "least"), [(16, 10), (1, 1), (2, 4)])
+def test_substring_dedup_is_brute_force(spark, local, least):
     rnd = random.Random(12)
     fill = lambda n: [rnd.choice("ABcdef") + "".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
     passages, lines = [fill(60) for _ in range(5)], [" ".join(fill(rnd.randint(1, 9))) for _ in range(8)]
@@ -502,9 +503,9 @@ def test_substring_dedup_is_brute_force(spark, hot):
     ids = [None, 3, *range(5, 5 + len(texts) - 2)]
     rows = list(zip(ids, texts, strict=True)) + [(7, texts[4]), (9, texts[6])]  # one repeated row and one identifier with another text
     frame = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, removed_spans int").repartition(3)
-    got = {r["removed_spans"]: (r["text"], [tuple(x) for x in r["removed_spans_2"]]) for r in substring_dedup.dedup(frame, hot=hot).collect()}
-    assert [got[k] for k in range(len(rows))] == plain_dedup(rows, substring_dedup.MIN_WORDS)
-    assert substring_dedup.dedup(table(spark, []), hot=hot).count() == 0
+    got = {r["removed_spans"]: (r["text"], [tuple(x) for x in r["removed_spans_2"]]) for r in substring_dedup.dedup(frame, min_line=least, local=local).collect()}
+    assert [got[k] for k in range(len(rows))] == plain_dedup(rows, substring_dedup.MIN_WORDS, least)
+    assert substring_dedup.dedup(table(spark, []), local=local).count() == 0
 
 
 def plain_measures(text):

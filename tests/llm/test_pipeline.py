@@ -76,7 +76,7 @@ def test_passages_stage_removes_repeats_and_emptied_documents(spark):
     passage = prose(rnd, 60)
     rows = [(1, passage), (2, passage), (3, "own words\n" + passage), (4, None), (5, ""), (6, "a\nb")]
     out = kept(stage("passages")(spark, docs_of(spark, rows), ""))
-    plain = plain_dedup(rows, substring_dedup.MIN_WORDS)
+    plain = plain_dedup(rows, substring_dedup.MIN_WORDS, substring_dedup.MIN_LINE)
     assert out == sorted([(i, t) for (i, _), (t, spans) in zip(rows, plain, strict=True) if not spans or t.strip()], key=repr)
     assert 2 not in [i for i, _ in out] and (4, None) in out
     lengths = {r.doc_id: r.n_chars for r in stage("passages")(spark, docs_of(spark, rows), "").collect()}
