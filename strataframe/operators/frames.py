@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataframe.operators import ordered
+
 
 def fold(samples: Column, op: str) -> Column:
     start = {"or": 0, "and": 0xFFFF}[op]
@@ -114,6 +116,26 @@ def factor_pairs(n: int, lowest: float = 0.25, highest: float = 4.0) -> list[tup
     return sorted(p for p in found if lowest <= p[0] / p[1] <= highest)
 
 
+def factor_pair_column(n: Column, lowest: float = 0.25, highest: float = 4.0) -> Column:
+    """The same as an array of (rows, cols) for a column of products; null or below 1 gives an empty array."""
+    top = F.ceil(F.sqrt(n * highest)).cast("int")  # rows / cols <= highest
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(top, F.lit(1))), lambda r: F.struct(r.alias("rows"), F.floor(n / r).cast("int").alias("cols")))
+    fits = lambda p: (p["rows"] * p["cols"] == n) & (p["rows"] / p["cols"]).between(lowest, highest)
+    return F.when(n >= 1, F.filter(pairs, lambda p: (p["cols"] > 0) & F.coalesce(F.when(p["cols"] > 0, fits(p)), F.lit(False)))).otherwise(F.array().cast("array<struct<rows:int,cols:int>>"))
+
+
+def pick_evenly(df: DataFrame, group: list[str], position: str, k: int) -> DataFrame:
+    """Rows of up to ``k`` evenly spaced places of each group, in order of ``position``; the first and the last are among them."""
+    placed = ordered.ranked(df, group, position, "_place")
+    whole = df.groupBy(*group).agg(F.count("*").alias("_n"))
+    placed = ordered.on_keys(placed, whole, group) if group else placed.join(F.broadcast(whole))
+    last = F.col("_n") - 1
+    # place p is picked if p = floor(i * last / (k - 1)) for some i; the least i that reaches it is ceil(p * (k - 1) / last)
+    i = F.ceil(F.col("_place") * (k - 1) / F.nullif(last, F.lit(0)))
+    hit = F.floor(i * last / max(1, k - 1)) == F.col("_place")
+    return placed.where((F.col("_n") <= k) | (F.lit(k > 1) & hit) | (F.col("_place") == 0)).drop("_place", "_n")
+
+
 def even_picks(n: int, k: int) -> list[int]:
     """Up to ``k`` distinct evenly spaced positions of ``n``."""
     if n <= 0 or k <= 0:

@@ -118,15 +118,17 @@ def x14_row_coherence(spark, d):
     return X.row_coherence(frames(spark, d), ["vec_id"], 8).select("vec_id", F.round("coherence", 6).alias("coherence"))
 
 
-@query("select r.r::int as rows, (64 // r.r)::int as cols from (select unnest(range(1, 65)) r) r where 64 % r.r = 0 and r.r / (64.0 / r.r) between 0.25 and 4")
+@query("select n, r::int as rows, (n // r)::int as cols from (select n, unnest(range(1, n + 1)) r from (select distinct p_size * 48 n from part)) where n % r = 0 and r / (n / r) between 0.25 and 4")
 def f22_factor_pairs(spark, d):
-    return spark.createDataFrame(X.factor_pairs(64), "rows int, cols int")
+    """Shapes of frames of so many samples."""
+    n = read(spark, d, "part").select((F.col("p_size") * 48).alias("n")).distinct()
+    return n.select("n", F.explode(X.factor_pair_column(F.col("n"))).alias("p")).select("n", "p.rows", "p.cols")
 
 
-@query("select distinct i * (n - 1) // 6 vec_id from (select count(*) n from embeddings), (select unnest(range(0, 7)) i)")
+@query("select label, vec_id from (select label, vec_id, row_number() over (partition by label order by vec_id) - 1 r, count(*) over (partition by label) n from embeddings) where r in (select i * (n - 1) // 6 from (select unnest(range(0, 7)) i)) or n <= 7")
 def t7_even_picks(spark, d):
-    n = read(spark, d, "embeddings").count()
-    return spark.createDataFrame([(i,) for i in X.even_picks(n, 7)], "vec_id long")
+    """Seven evenly spaced frames of each label, or all where there are fewer."""
+    return X.pick_evenly(frames(spark, d).select("label", "vec_id"), ["label"], "vec_id", 7)
 
 
 @query(f"select coalesce(a.k, b.k) k, coalesce(a.n, 0) n_a, coalesce(b.n, 0) n_b from (select sha256(array_to_string(s, ',')) k, count(*) n from {FRAMES_SQL} where vec_id % 10 <> 3 group by 1) a full join (select sha256(array_to_string(list_reverse(list_reverse(s)), ',')) k, count(*) n from {FRAMES_SQL} where vec_id % 10 <> 4 group by 1) b on a.k = b.k where coalesce(a.n, 0) <> coalesce(b.n, 0)")
