@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh
+from .common import cut, fresh, tidy
 from .counters import counter_of, long_keys
 from .shingles import WIDTH, WordHashes, mix, shingle_set
 
@@ -216,6 +216,7 @@ def _info(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """id, n, digest of the set, and the first members with how many of them a partner has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         memo = WordHashes()
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
@@ -232,6 +233,7 @@ def _info(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 def _whole_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         memo = WordHashes()
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
@@ -330,6 +332,7 @@ def _search(docs: DataFrame, wanted: DataFrame, width: int, percent: int, broadc
     """wanted: id, g (group), place, places (above 0 for a hub), a row for each group of a document. Links found in groups; for documents of a hub's group also its D."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         memo = WordHashes()
         for whole in batches:
             for k in range(0, whole.num_rows, 200):

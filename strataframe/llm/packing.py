@@ -26,9 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import tidy
 from .tokens import chunks, kept, library_encoder
 
 CAPACITY = 2048
+#: Distinct units of text that a worker remembers the ids of.
+UNITS = 300_000
 #: Windows in a full block.
 WINDOWS = 128
 #: Lengths of the short pieces; about one of each for every window.
@@ -176,7 +179,8 @@ def pack(df: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = CA
     schema = T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept((tokenizer_path, "dropped"), lambda: library_encoder(tokenizer_path, "dropped"))
+        tidy()
+        encoder = kept((tokenizer_path, "dropped"), lambda: library_encoder(tokenizer_path, "dropped", UNITS))
         packer = Packer(capacity, first_sequence=TaskContext.get().partitionId() << 33)
         end = int(end_id).to_bytes(4, "little")
         out: list[tuple] = []

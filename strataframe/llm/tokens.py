@@ -108,7 +108,7 @@ def kept(key: tuple, make: Callable[[], UnitEncoder]) -> UnitEncoder:
     return _KEPT[key]
 
 
-def library_encoder(path: str, spaces: str) -> UnitEncoder:
+def library_encoder(path: str, spaces: str, bound: int = 1_000_000) -> UnitEncoder:
     """Whole texts by a tokenizer file of the ``tokenizers`` library.
 
     Strings of special tokens in a text are ordinary text and none is added. ``spaces`` says what the tokenizer does
@@ -123,7 +123,7 @@ def library_encoder(path: str, spaces: str) -> UnitEncoder:
     def new(texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False))]
 
-    return UnitEncoder(spaced_units if spaces == "kept" else bare_units, new)
+    return UnitEncoder(spaced_units if spaces == "kept" else bare_units, new, bound)
 
 
 def chunks(batches: Iterable, columns: list[str], text: int, chars: int = 3_000_000) -> Iterator[list[tuple]]:
