@@ -31,7 +31,7 @@ from .tokens import chunks, kept, library_encoder
 
 CAPACITY = 2048
 #: Distinct units of text that a worker remembers the ids of.
-UNITS = 300_000
+UNITS = 1_000_000
 #: Windows in a full block.
 WINDOWS = 128
 #: Lengths of the short pieces; about one of each for every window.
