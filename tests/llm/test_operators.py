@@ -637,7 +637,8 @@ def test_fingerprints_are_brute_force(spark):
     for i, t in enumerate(texts):
         weights = plain_fingerprint(t, samples)
         words = spark.createDataFrame([(w,) for w in weights], "w string").select("w", F.xxhash64("w").alias("h"))
-        hashes = {r.w: [int(x) for x in r[1:]] for r in words.select("w", *[F.xxhash64("h", F.lit(k)) for k in range(2 * samples)]).collect()}
+        ones = [F.xxhash64(F.col("h").bitwiseXOR(F.lit(weighted_fingerprint.salt(k)))) for k in range(samples)]
+        hashes = {r.w: [int(x) for x in r[1:]] for r in words.select("w", *[y for x in ones for y in (x, F.xxhash64(x))]).collect()}
         parts = []
         for k in range(samples):
             best = None
@@ -645,10 +646,10 @@ def test_fingerprints_are_brute_force(spark):
                 one, two = hashes[w][2 * k] & m, hashes[w][2 * k + 1] & m
                 unit = lambda bits, shift, width: (((bits >> shift) & ((1 << width) - 1)) + 0.5) / (1 << width)
                 r, c = (-np.log(unit(x, 0, 26) * unit(x, 26, 26)) for x in (one, two))
-                b = unit(one ^ two, 52, 12)
+                b = unit(two, 52, 12)
                 at = int(np.floor(np.log(n) / r + b))
                 value = int((np.log(c) - r * (at - b + 1.0) + 400.0) * (1 << 30))
-                own = (((one >> 52) << 12 | two >> 52) + at * 0x9E3779) & 0xFFFFFF
+                own = (one ^ at * 0x9E3779) & 0xFFFFFF
                 best = min(best or (1 << 62, 0), (value, own))
             parts.append(f"{best[1]:06x}")
         assert got[i] == "".join(parts)
