@@ -179,10 +179,17 @@ def ago(then: Column, now: Column) -> Column:
 
 
 def epoch_iso(epoch: Column, milliseconds: bool = False) -> Column:
-    """Seconds or milliseconds since 1970 as 2020-01-31T12:00:00+00:00, in UTC whatever the session's zone is."""
+    """Seconds or milliseconds since 1970 as 2020-01-31T12:00:00+00:00, in UTC whatever the session's zone is.
+
+    Years have four digits at least and more from 10000 on, without a plus sign; those before year 0 have a minus sign.
+    """
     seconds = F.floor(epoch / 1000) if milliseconds else epoch.cast("long")
-    at = F.timestamp_seconds(seconds)
-    return F.concat(F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    second = F.pmod(seconds, F.lit(86_400))
+    day = F.date_from_unix_date(((seconds - second) / 86_400).cast("int"))
+    year = F.year(day).cast("string")
+    two = lambda n: F.lpad(F.floor(n).cast("string"), 2, "0")
+    date = F.concat(F.when(F.year(day).between(0, 999), F.lpad(year, 4, "0")).otherwise(year), F.lit("-"), two(F.month(day)), F.lit("-"), two(F.dayofmonth(day)))
+    return F.concat(date, F.lit("T"), two(second / 3600), F.lit(":"), two(second % 3600 / 60), F.lit(":"), two(second % 60), F.lit("+00:00"))
 
 
 def map_get(values: Column, *keys: str, default=None) -> Column:

@@ -183,6 +183,21 @@ def test_names_and_times(spark):
     assert one(S.share_path(F.lit("Y:\\Subjects\\a"), "//srv/s")) == "//srv/s/Subjects/a" and one(S.object_key(F.lit("Y:\\Subjects\\A\\b"), "subjects")) == "subjects/A/b"
 
 
+def test_epochs_of_any_year_agree_with_sql(spark):
+    import duckdb
+
+    epochs = [0, -1, 86_399, 1_700_000_000, 253_402_300_799, 253_402_300_800, 518_393_913_601, 9_000_000_000_000, -62_135_596_801, -62_200_000_000, -70_000_000_000, -50_000_000_000]
+    want = [duckdb.connect().execute(f"select strftime(make_timestamp({s}::bigint * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00'").fetchone()[0] for s in epochs]
+    rows = spark.createDataFrame([(k, s) for k, s in enumerate([*epochs, None])], "k int, s long")
+    got = rows.select("k", S.epoch_iso(F.col("s")).alias("a"), S.epoch_iso(F.col("s") * 1000 + 999, True).alias("b")).orderBy("k").collect()
+    assert [r.a for r in got] == [*want, None] and [r.b for r in got] == [*want, None]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # the hour that this zone has twice
+        assert spark.range(1).select(S.epoch_iso(F.lit(1_699_164_000)).alias("x")).first().x == "2023-11-05T06:00:00+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_ordered_cells_equal_whole_windows(spark):
     from pyspark.sql import Window
 
