@@ -20,8 +20,9 @@ the short ones. Three steps apply it, each exact:
 
 Groups of more than ``BLOCK`` documents are not brought to one task. Their hub searches the lists of the others in as many
 places as needed, and the differences are dealt out by their members: documents without ``needed`` live lists go, again
-and again, and what is left goes through steps 2 and 3. So a group of near copies costs each of its documents one
-comparison and a few rows for each round.
+and again. The differences of those left meet in one task, or where they are more than ``TOLD_BLOCK`` part by part, any
+two parts in a task of their own, and are searched as in step 3. There is one such round; differences from a second hub
+would be larger and tell less, as all of a group share most of what that hub has changed.
 
 Cases: null and empty texts have no set and link to nothing; they are their own component, with 0 shingles. Equal sets
 are one class and only its first document takes part. Texts of any length are read whole. A null identifier ranks before
@@ -51,6 +52,10 @@ PERCENT = 80
 SHARE = 10
 #: Groups of at most so many documents, and so many members in all sets together, are searched in one task.
 BLOCK, BLOCK_MEMBERS = 1024, 1 << 21
+#: Differences of at most so many documents are searched in one task.
+TOLD_BLOCK = 4096
+#: Groups of more documents than this have their lists as arrays.
+ARRAYS = 128
 #: About so many documents are searched by a hub in one task.
 TOGETHER = 64
 #: Lists that may have more than so many rows are counted by partial aggregation.
@@ -112,10 +117,32 @@ def divide_skip(lists: list[list[int]], t: int, long_lists: int) -> dict[int, in
     return found
 
 
+def divide_skip_arrays(lists: list[np.ndarray], t: int, long_lists: int, n: int) -> dict[int, int]:
+    """As ``divide_skip``, for sorted arrays of members below ``n``: short lists are merged by counting, long ones probed for all that is still open at once."""
+    ordered = sorted(filter(len, lists), key=len)
+    split = max(0, len(ordered) - long_lists)
+    short, long = ordered[:split], ordered[split:]
+    if not short:
+        return {}
+    count = np.bincount(np.concatenate(short), minlength=n)
+    member = np.flatnonzero(count >= max(1, t - len(long)))
+    count = count[member]
+    for left, x in zip(range(len(long), 0, -1), long, strict=True):
+        open_ = count + left >= t
+        if not open_.all():
+            member, count = member[open_], count[open_]
+        if not len(member):
+            break
+        at = np.minimum(np.searchsorted(x, member), len(x) - 1)
+        count = count + (x[at] == member)
+    enough = count >= t
+    return dict(zip(member[enough].tolist(), count[enough].tolist(), strict=True))
+
+
 # ---- one task
 
 
-def inverted(sets: list[np.ndarray]) -> tuple[list[list[int]], list[list[int]]]:
+def inverted(sets: list[np.ndarray]) -> tuple[list[np.ndarray], list[list[int]]]:
     """Lists of the members that two sets or more have, and for each set the numbers of its lists."""
     members = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -125,8 +152,8 @@ def inverted(sets: list[np.ndarray]) -> tuple[list[list[int]], list[list[int]]]:
     begin, size = edges[:-1], np.diff(edges)
     lists, of = [], [[] for _ in sets]
     for a, n in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-        one = owner[a : a + n].tolist()
-        for d in one:
+        one = owner[a : a + n]
+        for d in one.tolist():
             of[d].append(len(lists))
         lists.append(one)
     return lists, of
@@ -175,25 +202,37 @@ def search_group(ids: list[int], sets: list[np.ndarray], percent: int = PERCENT)
     left[hub] = False
     for d, link in zip(rest, near, strict=True):
         left[d] = not link
-    remaining = sum(left)
-    if not remaining:
+    if not any(left):
         return found
     differences = [np.setxor1d(sets[hub], s, assume_unique=True) for s in sets]
+    far = [needed(len(d), size[hub], n, percent)[0] for d, n in zip(differences, size, strict=True)]
+    return found + search_differences([ids[d] for d in rest], [differences[d] for d in rest], [size[d] for d in rest], near, [far[d] for d in rest], percent)
+
+
+def search_differences(ids: list[int], differences: list[np.ndarray], size: list[int], linked: list[bool], far: list[int], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that connect what all links connect in which a document has a part that isn't linked to the hub.
+
+    differences: from the hub; size: of the sets; far: what ``needed`` tells first.
+    """
     lists, of = inverted(differences)
-    lists, held = [[d for d in x if left[d]] for x in lists], remaining
-    queue = [d for d, link in zip(rest, near, strict=True) if link]
-    for start in [None, *rest]:
+    left = ~np.array(linked, bool)
+    held = remaining = int(left.sum())
+    arrays = len(ids) > ARRAYS
+    free = lambda lists: [x[left[x]] if arrays else [d for d in x if left[d]] for x in lists]
+    lists = free(lists if arrays else [x.tolist() for x in lists])
+    queue, found = np.flatnonzero(~left).tolist(), []
+    for start in [None, *range(len(ids))]:
         if start is not None and left[start]:
             queue, left[start], remaining = [start], False, remaining - 1
         while queue and remaining:
             if 2 * remaining <= held:  # lists are freed of those reached each time these halve
-                lists, held = [[d for d in x if left[d]] for x in lists], remaining
+                lists, held = free(lists), remaining
             q = queue.pop()
-            t = needed(len(differences[q]), size[hub], size[q], percent)[0]
-            own = [x for x in map(lists.__getitem__, of[q]) if x]
+            t = far[q]
+            own = [x for x in map(lists.__getitem__, of[q]) if len(x)]
             if len(own) < t:
                 continue
-            for d, shared in divide_skip(own, t, t - 1).items():
+            for d, shared in (divide_skip_arrays(own, t, t - 1, len(ids)) if arrays else divide_skip(own, t, t - 1)).items():
                 if left[d]:
                     differ = len(differences[q]) + len(differences[d]) - 2 * shared
                     if links(size[q], size[d], (size[q] + size[d] - differ) // 2, percent):
@@ -284,8 +323,8 @@ def _live(held: DataFrame, hot: int) -> DataFrame:
 _PEEL = 3
 
 
-def _live_differences(held: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
-    """(held, live) of the differences that can still matter. held: id, a (hub), n, link, far, near, keys.
+def _live_differences(held: DataFrame, hot: int) -> DataFrame:
+    """The rows of ``held`` that can still matter. held: id, a (hub), n, link, far, near, keys.
 
     A partner shares ``far`` lists if it doesn't link to the hub; one that does shares ``near`` lists with a document that
     doesn't, and nothing has to be found for two that do. Documents with fewer such lists go, and with them what made
@@ -299,21 +338,49 @@ def _live_differences(held: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
         live = rows.select(*own, "key", "size", (others > 0).alias("u"), (~F.col("link") & (F.col("linked") > 0)).alias("l")).where("u or l")
         counted = live.groupBy(*own).agg(F.count_if("u").alias("us"), F.count_if("l").alias("ls"))
         far, near = F.col("us") >= F.col("far"), ~F.col("link") & (F.col("ls") >= F.col("near"))
-        need = F.when(far & near, F.least("far", "near")).when(far, F.col("far")).otherwise(F.col("near"))
-        held = cut(held.drop("need").join(counted, own).where(far | near).select(*own, "n", "link", "far", "near", need.alias("need"), "keys"), forget_size=True)
+        held = cut(held.join(counted, own).where(far | near).select(*own, "n", "link", "far", "near", "keys"), forget_size=True)
         if held.isEmpty():
             break
-    return held, live.select(*own, "key", "size")
+    return held
 
 
-def _short(held: DataFrame, live: DataFrame, own: list[str]) -> DataFrame:
-    """(``own``, n, weight, key): the live lists but the need - 1 longest of the documents that have ``need`` of them.
+def _search_differences(held: DataFrame, percent: int, told_block: int) -> DataFrame:
+    """(a, b): links among the rows of ``held`` (as in ``_live_differences``) of the same hub."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
+        at, rows = None, []
+        for batch in batches:
+            for g, i, j, *row, keys in zip(*(batch.column(c).to_pylist() for c in range(7)), batch.column(7), strict=True):
+                if (g, i, j) != at:
+                    yield from told(rows)
+                    at, rows = (g, i, j), []
+                rows.append((*row, np.sort(keys.values.to_numpy(zero_copy_only=False).view(np.uint64))))
+        yield from told(rows)
+
+    def told(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if rows:
+            ids, size, linked, far, differences = map(list, zip(*rows, strict=True))
+            if not all(linked) and (found := search_differences(ids, differences, size, linked, far, percent)):
+                yield _batch(found, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    sizes = held.groupBy("a").agg(F.count("*").alias("rows"), F.sum(F.size("keys")).alias("members"))  # a row for each group of more than BLOCK documents
+    parts = F.when((F.col("rows") > told_block) | (F.col("members") > BLOCK_MEMBERS), F.greatest(F.lit(2), F.ceil(2 * F.col("rows") / told_block), F.ceil(2 * F.col("members") / BLOCK_MEMBERS))).otherwise(1)
+    placed = held.join(F.broadcast(sizes.select("a", parts.cast("int").alias("parts"))), "a").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int"))
+    # a part meets each other one; a single part is alone
+    others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.array_except(F.sequence(F.lit(0), F.col("parts") - 1), F.array("own")))
+    sent = placed.withColumn("other", F.explode(others)).select("a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "n", "link", "far", "keys")
+    return sent.repartition("a", "i", "j").sortWithinPartitions("a", "i", "j", "id").mapInArrow(solve, "a long, b long")
+
+
+def _short(held: DataFrame, live: DataFrame) -> DataFrame:
+    """(id, n, weight, key): the live lists but the need - 1 longest of the documents that have ``need`` of them.
 
     Two documents that link share ``need`` live lists; the shortest of these is kept by both. weight: how long a
     document's lists are for its size.
     """
-    one = live.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("m"), F.sum("size").alias("sum"))  # as many as the set has members
-    enough = one.join(held.select(*own, "n", "need"), own).where(F.size("m") >= F.col("need"))
+    one = live.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("m"), F.sum("size").alias("sum"))  # as many as the set has members
+    enough = one.join(held.select("id", "n", "need"), "id").where(F.size("m") >= F.col("need"))
     kept = F.slice("m", F.lit(1), (F.size("m") - F.col("need") + 1).cast("int"))
     return enough.select("id", "n", (F.col("sum") / F.col("need")).alias("weight"), F.explode(F.transform(kept, lambda x: x["key"])).alias("key"))
 
@@ -397,7 +464,7 @@ def _solved(kinds: list[int], ids: list[int], sets: list[np.ndarray], percent: i
 # ---- the whole search
 
 
-def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK, broadcast_ids: int = BROADCAST_IDS, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK, broadcast_ids: int = BROADCAST_IDS, hot: int = HOT, told_block: int = TOLD_BLOCK) -> tuple[DataFrame, DataFrame]:
     """(documents: id, n, twin) and (links: a, b): twin is the first document with the same set; links join twins.
 
     Identifiers must differ and not be null. The links connect exactly the documents that all links connect, but need not be all of them.
@@ -413,30 +480,30 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     alone = _only(info.where("n > 0").select("id", "need", "keys"), nodes.where("twin <> id").select("id"), broadcast_ids, "left_anti")
     live = _live(alone, hot).groupBy("id").agg(F.count("*").alias("live"))
     alive = cut(live.join(alone.select("id", "need"), "id").where("live >= need").select("id"))
-    held, level = cut(_whole_sets(_only(docs, alive, broadcast_ids), width, percent)), 0
+    held = cut(_whole_sets(_only(docs, alive, broadcast_ids), width, percent))
     found = spark.createDataFrame([], "a long, b long")
-    while not held.isEmpty():
-        if level:
-            held, live = _live_differences(held, hot)
-        else:
-            live = _live(held, hot)
-        short = cut(_short(held, live, ["id", "a"] if level else ["id"]), forget_size=True)
-        # a group has the documents that share a list with its first one in that list; two that link share a kept list
-        centres = short.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").drop("z")
-        members = cut(short.join(centres, "key").groupBy("a", "id").agg(F.max("n").alias("n"), F.max("weight").alias("weight")), forget_size=True)
-        if members.isEmpty():
-            break
-        sizes = members.groupBy("a").agg(F.count("*").alias("size"), F.sum("n").alias("members"), F.max(F.struct("weight", (-F.col("id")).alias("less"))).alias("best"))
-        large = (F.col("size") > block) | (F.col("members") > BLOCK_MEMBERS)
-        hub, places = -F.col("best.less"), F.ceil(F.col("size") / TOGETHER).cast("int")
-        seat = F.pmod(F.xxhash64("id"), places.cast("long")).cast("int")
-        wanted = members.join(sizes, "a").select("id", F.col("a").alias("g"), F.when(large, seat).otherwise(0).alias("place"), F.when(large & (F.col("id") == hub), places).otherwise(0).alias("places"))
-        checked = cut(_search(docs, cut(wanted), width, percent, broadcast_ids), forget_size=True)
-        found = found.unionByName(checked.where("link").select("a", "b"))
-        rest = checked.where("far is not null").select("a", F.col("b").alias("id"), "n", "link", "far", "near", "keys")
-        # where all documents of a group link to its hub there is nothing left to find
-        open_ = rest.where("not link").select("a").distinct()
-        held, level = cut(rest.where("keys is not null").join(open_, "a", "left_semi").dropDuplicates(["id", "a"]), forget_size=True), level + 1
+    if held.isEmpty():
+        return nodes, found
+    short = cut(_short(held, _live(held, hot)), forget_size=True)
+    # a group has the documents that share a list with its first one in that list; two that link share a kept list
+    centres = short.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").drop("z")
+    members = cut(short.join(centres, "key").groupBy("a", "id").agg(F.max("n").alias("n"), F.max("weight").alias("weight")), forget_size=True)
+    if members.isEmpty():
+        return nodes, found
+    sizes = members.groupBy("a").agg(F.count("*").alias("size"), F.sum("n").alias("members"), F.max(F.struct("weight", (-F.col("id")).alias("less"))).alias("best"))
+    large = (F.col("size") > block) | (F.col("members") > BLOCK_MEMBERS)
+    hub, places = -F.col("best.less"), F.ceil(F.col("size") / TOGETHER).cast("int")
+    seat = F.pmod(F.xxhash64("id"), places.cast("long")).cast("int")
+    wanted = members.join(sizes, "a").select("id", F.col("a").alias("g"), F.when(large, seat).otherwise(0).alias("place"), F.when(large & (F.col("id") == hub), places).otherwise(0).alias("places"))
+    checked = cut(_search(docs, cut(wanted), width, percent, broadcast_ids), forget_size=True)
+    found = found.unionByName(checked.where("link").select("a", "b"))
+    rest = checked.where("far is not null").select("a", F.col("b").alias("id"), "n", "link", "far", "near", "keys")
+    # where all documents of a group link to its hub there is nothing left to find
+    open_ = rest.where("not link").select("a").distinct()
+    left = cut(rest.where("keys is not null").join(open_, "a", "left_semi").dropDuplicates(["id", "a"]), forget_size=True)
+    if not left.isEmpty():
+        left = _live_differences(left, hot)
+        found = found.unionByName(cut(_search_differences(left, percent, told_block), forget_size=True))
     return nodes, found
 
 

@@ -112,6 +112,21 @@ def test_ngram_join_of_large_groups_without_their_pairs(spark):
     assert [got[i] for i in range(len(texts))] == brute_components(texts)
 
 
+@pytest.mark.parametrize("parts", [{}, {"told_block": 16}])
+def test_ngram_join_of_copies_below_the_threshold_takes_one_round(spark, monkeypatch, parts):
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = near_copies(rnd, 150, 3, 20)
+    for k in range(90):  # most of them link to no other; all change words that others change too
+        words = [x if rnd.random() > 0.03 else f"v{rnd.randrange(10**6)}" for x in base if rnd.random() > 0.02]
+        texts += [" ".join(words), " ".join([*words, "tail"])][: 1 + (k % 4 == 0)]
+    searches, search = [], ngram_join._search
+    monkeypatch.setattr(ngram_join, "_search", lambda *a: searches.append(1) or search(*a))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.groups(table(spark, texts), block=16, **parts).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_components(texts)
+    assert len(searches) == 1
+
+
 def test_needed_is_what_partners_share():
     rnd = random.Random(4)
     for _ in range(4000):
@@ -152,6 +167,7 @@ def test_divide_skip_counts():
     for t in (1, 3, 5):
         for skipped in range(t):
             assert ngram_join.divide_skip(lists, t, skipped) == {x: n for x, n in counts.items() if n >= t}
+            assert ngram_join.divide_skip_arrays([np.array(x, int) for x in lists], t, skipped, 60) == {x: n for x, n in counts.items() if n >= t}
 
 
 def test_packing_holds_each_id_once(spark):
