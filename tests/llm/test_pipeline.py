@@ -124,3 +124,19 @@ def test_run_chains_the_stages(spark, tmp_path):
     ids = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert 50 not in ids and 51 not in ids and len(ids) > 30
     assert re.fullmatch("[a-z_,]+", ",".join(n for n, _ in corpus_pipeline.STAGES))
+
+
+def test_near_duplicates_stage_of_copies_below_the_threshold_takes_one_round(spark, monkeypatch):
+    from strataframe.llm import ngram_join
+
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(x if rnd.random() > 0.03 else f"v{rnd.randrange(10**6)}" for x in base if rnd.random() > 0.02) for _ in range(110)]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate([" ".join(base), *texts])]
+    searches, search, firsts = [], ngram_join._search, ngram_join.firsts
+    monkeypatch.setattr(ngram_join, "_search", lambda *a: searches.append(1) or search(*a))
+    monkeypatch.setattr(ngram_join, "firsts", lambda df: firsts(df, block=16))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates_stage(spark, docs, "").collect()}
+    assert kept == {r.doc_id for r in ngram_join.groups(docs).where("doc_id = component_id").collect()}
+    assert len(searches) == 2  # one for the stage, one for the groups that it is compared with
