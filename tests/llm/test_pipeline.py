@@ -42,6 +42,13 @@ def test_rules_stage_keeps_what_the_operator_keeps(spark):
     assert not {40, 41, 42, 43} & {i for i, _ in kept(out)}
 
 
+def test_rules_stage_counts_a_text_once(spark):
+    rnd = random.Random(4)
+    out = stage("quality_rules")(spark, docs_of(spark, [(i, prose(rnd, 80)) for i in range(40)]), "")
+    assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 40
+
+
 def test_classifier_stage_keeps_what_scores_enough(spark, tmp_path):
     rnd = random.Random(2)
     rows = [(i, prose(rnd, 80) if i % 3 else "### " * 60 + prose(rnd, 9)) for i in range(120)] + [(None, prose(rnd, 80)), (5, prose(rnd, 50))]
