@@ -51,9 +51,12 @@ def cut(df: DataFrame, forget_size: bool = False) -> DataFrame:
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()  # Spark removes shuffle files when their plan is collected
     held = df.checkpoint(eager=True)
-    if not forget_size:
-        return held
-    session, held = df.sparkSession, held._jdf
+    return apart(held) if forget_size else held
+
+
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` planned for itself and not computed yet: no filter that follows is put before its expensive columns, which would then be computed for the filter too."""
+    session, held = df.sparkSession, df._jdf
     return DataFrame(session._jsparkSession.internalCreateDataFrame(held.queryExecution().toRdd(), held.schema(), False), session)
 
 

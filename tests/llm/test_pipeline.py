@@ -42,7 +42,7 @@ def test_rules_stage_keeps_what_the_operator_keeps(spark):
     assert not {40, 41, 42, 43} & {i for i, _ in kept(out)}
 
 
-def test_rules_stage_counts_a_text_once(spark):
+def test_rules_stage_does_not_count_for_its_filter_too(spark):
     rnd = random.Random(4)
     out = stage("quality_rules")(spark, docs_of(spark, [(i, prose(rnd, 80)) for i in range(40)]), "")
     assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
